@@ -37,11 +37,15 @@ _LINE_FIELDS = {
 FLIGHT_FIELDS = ("origin", "dest", "airline_id", *_LINE_FIELDS)
 
 
-def _nation_of(tables: Tables, table: str, key: str, nation_key: str, key_name: str, name: str) -> DataFrame:
-    """``(key_name, name)``: nation name of each row of a dimension."""
-    rows = getattr(tables, table)
-    return rows.join(tables.nation, F.col(nation_key) == F.col("n_nationkey")).select(
-        F.col(key).alias(key_name), F.col("n_name").alias(name))
+def _with_nation(rows: DataFrame, tables: Tables, table: str, key: str, nation_key: str, by: str, name: str) -> DataFrame:
+    """``rows`` with the nation ``name`` of the dimension row that their column ``by`` refers to.
+
+    Dimension and nation are joined one after the other: the planner then knows the size of each from its files and
+    broadcasts what is small, which it cannot tell of the two joined.
+    """
+    dimension = getattr(tables, table).select(F.col(key).alias(by), F.col(nation_key).alias("_nation"))
+    nation = tables.nation.select(F.col("n_nationkey").alias("_nation"), F.col("n_name").alias(name))
+    return rows.join(dimension, by).join(nation, "_nation").drop("_nation")
 
 
 def flights(tables: Tables, fields: Iterable[str] = FLIGHT_FIELDS, lines: DataFrame | None = None) -> DataFrame:
@@ -53,11 +57,9 @@ def flights(tables: Tables, fields: Iterable[str] = FLIGHT_FIELDS, lines: DataFr
     rows = tables.lineitem if lines is None else lines
     if "dest" in fields:
         orders = tables.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        customers = _nation_of(tables, "customer", "c_custkey", "c_nationkey", "o_custkey", "dest")
-        rows = rows.join(orders, "l_orderkey").join(customers, "o_custkey")
+        rows = _with_nation(rows.join(orders, "l_orderkey"), tables, "customer", "c_custkey", "c_nationkey", "o_custkey", "dest")
     if "origin" in fields:
-        suppliers = _nation_of(tables, "supplier", "s_suppkey", "s_nationkey", "l_suppkey", "origin")
-        rows = rows.join(suppliers, "l_suppkey")
+        rows = _with_nation(rows, tables, "supplier", "s_suppkey", "s_nationkey", "l_suppkey", "origin")
     if "airline_id" in fields:
         parts = tables.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("airline_id"))
         rows = rows.join(parts, "l_partkey")
@@ -82,13 +84,10 @@ def trip_requests(tables: Tables) -> DataFrame:
     lines = tables.lineitem.select(
         "l_orderkey", "l_suppkey", F.expr(_LINE_FIELDS["flight_date"]).alias("date1"), F.expr("l_partkey % 25").alias("_next"))
     orders = tables.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return (
-        lines.join(orders, "l_orderkey")
-        .join(_nation_of(tables, "customer", "c_custkey", "c_nationkey", "o_custkey", "y"), "o_custkey")
-        .join(_nation_of(tables, "supplier", "s_suppkey", "s_nationkey", "l_suppkey", "x"), "l_suppkey")
-        .join(tables.nation.select(F.col("n_nationkey").cast("bigint").alias("_next"), F.col("n_name").alias("z")), "_next")
-        .select("x", "y", "z", "date1")
-    )
+    rows = _with_nation(lines.join(orders, "l_orderkey"), tables, "customer", "c_custkey", "c_nationkey", "o_custkey", "y")
+    rows = _with_nation(rows, tables, "supplier", "s_suppkey", "s_nationkey", "l_suppkey", "x")
+    onward = tables.nation.select(F.col("n_nationkey").cast("bigint").alias("_next"), F.col("n_name").alias("z"))
+    return rows.join(onward, "_next").select("x", "y", "z", "date1")
 
 
 def links(tables: Tables) -> DataFrame:
@@ -193,7 +192,7 @@ def membership_lines(tables: Tables) -> DataFrame:
     own = F.concat(F.col("user_id"), F.lit(".0.0.0:0 ["), hour, F.lit("] Node "))
     other = lambda action: F.concat(own, node, F.lit(f".0.0.0:0 {action} at time "), hour)
     line = (
-        F.when(F.col("event_type") == "signup", F.concat(own, F.lit("failed at time "), hour))
+        F.when(F.col("event_type") == "signup", F.concat(own, F.lit("failed at time = "), hour))
         .when(F.col("event_type") == "error", other("removed"))
         .when(F.col("event_type") == "view", F.concat(F.col("user_id"), F.lit(".0.0.0:0 [1] Trying to join...")))
         .otherwise(other("joined"))

@@ -18,10 +18,12 @@ UNREACHABLE = 2147483647  # fixed value: hop count of a vertex that cannot be re
 _MERGE_LEVELS = 16  # BFS levels after which the visited set is written as one table
 
 
-def _summary(pairs: DataFrame) -> tuple[int, int | None]:
-    """Size and content hash of a set of pairs."""
-    row = pairs.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("h")).first()
-    return row.n, row.h
+def _summary(pairs: DataFrame) -> tuple[int, int, int | None]:
+    """Of a set of pairs: its size, the number of upper ends, and a hash of its content."""
+    per_end = pairs.groupBy("hi").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("h"))
+    row = per_end.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("ends"),
+                      F.bit_xor("h").alias("h")).first()
+    return row.n, row.ends, row.h
 
 
 def connected_components(
@@ -41,13 +43,15 @@ def connected_components(
     state = durable(pairs)
     summary = _summary(state)
     while summary[0] > 0:
-        total = summary[0]
+        total, ends, _ = summary
         lowest = state.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("m"))
         moved = durable(
             lookup_join(state, lowest, "lo", total, "left", rows_per_task)
             .select("hi", F.coalesce("m", "lo").alias("lo"))
             .distinct()
         )
+        if total == ends and _summary(moved) == summary:  # every vertex is tied to one root and no root moves
+            break
         lowest = moved.groupBy("hi").agg(F.min("lo").alias("m"))
         tie = F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))
         state = durable(
@@ -56,9 +60,7 @@ def connected_components(
             .where("hi <> lo")
             .distinct()
         )
-        before, summary = summary, _summary(state)
-        if summary == before:
-            break
+        summary = _summary(state)
     roots = state.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
     return vertices.select("id").join(roots, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 FAIL_TICKS = 5
 REMOVE_TICKS = 20
 
-# The log lines.
-CHANGE_LINE = r"^\s*(\S+) \[(\d+)\] Node (\S+) (joined|removed) at time (\d+)"
-FAILED_LINE = r"^\s*(\S+) \[(\d+)\] Node failed at time (\d+)"
+# Fixed values, the log lines (observer, tick in brackets, text):
+#   1.0.0.0:0 [2] Node 3.0.0.0:0 joined at time 2
+#   1.0.0.0:0 [126] Node 3.0.0.0:0 removed at time 126
+#   3.0.0.0:0 [100] Node failed at time=100
+#   3.0.0.0:0 [100] Node failed at time = 100
+CHANGES = ("joined", "removed")
 
 
 def last_advance(heartbeats: DataFrame) -> DataFrame:
@@ -33,17 +36,20 @@ def heartbeat_status(advances: DataFrame, now: int | Column) -> DataFrame:
 
 
 def parse_membership_log(lines: DataFrame) -> DataFrame:
-    """``(observer, tick, member, action)``; for a ``failed`` line the observer is the member. Other lines drop out."""
-    value = F.col("value")
-    part = lambda pattern, group: F.regexp_extract(value, pattern, group)
-    failed = value.rlike(FAILED_LINE)
-    parsed = lines.where(failed | value.rlike(CHANGE_LINE)).select(
-        F.when(failed, part(FAILED_LINE, 1)).otherwise(part(CHANGE_LINE, 1)).alias("observer"),
-        F.when(failed, part(FAILED_LINE, 3)).otherwise(part(CHANGE_LINE, 5)).try_cast("bigint").alias("tick"),
-        F.when(failed, part(FAILED_LINE, 1)).otherwise(part(CHANGE_LINE, 3)).alias("member"),
-        F.when(failed, F.lit("failed")).otherwise(part(CHANGE_LINE, 4)).alias("action"),
+    """``(observer, tick, member, action)``; for a ``failed`` line the observer is the member. Other lines drop out.
+
+    A line is split once; its words tell what it is.
+    """
+    word = lambda i: F.get("w", F.lit(i))
+    failed = (word(3) == "failed") & (word(4) == "at") & F.startswith(word(5), F.lit("time"))
+    changed = word(4).isin(*CHANGES) & (word(5) == "at") & (word(6) == "time")
+    split = lines.select(F.split(F.trim("value"), " ").alias("w")).where(word(2) == "Node")
+    return split.where(failed | changed).select(
+        word(0).alias("observer"),
+        F.translate(word(1), "[]", "").try_cast("bigint").alias("tick"),
+        F.when(failed, word(0)).otherwise(word(3)).alias("member"),
+        F.when(failed, word(3)).otherwise(word(4)).alias("action"),
     )
-    return parsed
 
 
 def membership_audit(log: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
-from skytally.plans.joins import fits_broadcast, lookup_join
+from skytally.plans.durable import durable
+from skytally.plans.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 from skytally.plans.ranking import top_k, with_position
 from skytally.sinks.tables import latest_by_key
 
@@ -60,26 +63,22 @@ def movie_similarity(ratings: DataFrame, movies: DataFrame, source_movie_id: int
 
     ``ratings`` has one row per user and movie. Unrated counts as 0, so the dot product runs over common users and
     the norms over all ratings of a movie: one left join and one aggregation give both, movies without a common user
-    keep score 0, and no vector is built.
+    keep score 0, and no vector is built. The ratings of the one movie are found first, and their number decides how
+    they are joined.
     """
-    source = ratings.where(F.col("movie_id") == source_movie_id).select(
-        "user_id", F.col("rating").cast("bigint").alias("source_rating")
-    )
+    source = durable(ratings.where(F.col("movie_id") == source_movie_id).select(
+        "user_id", F.col("rating").cast("bigint").alias("source_rating")))
+    raters, source_squares = source.agg(
+        F.count(F.lit(1)), F.sum(F.col("source_rating") * F.col("source_rating"))).first()
     own = F.col("rating").cast("bigint")
-    if fits_broadcast(source):
+    if raters <= BROADCAST_ROWS:
         paired = ratings.join(F.broadcast(source), "user_id", "left")
     else:
         paired = lookup_join(ratings, source, "user_id", how="left")
     sums = paired.groupBy("movie_id").agg(
         F.sum(own * F.coalesce("source_rating", F.lit(0))).alias("dot"), F.sum(own * own).alias("squares")
     )
-    source_squares = source.agg(F.sum(F.col("source_rating") * F.col("source_rating"))).scalar()
-    scores = sums.select("movie_id", "dot", "squares", source_squares.alias("source_squares")).where(
-        F.col("source_squares").isNotNull()
-    ).select(
-        "movie_id",
-        F.round(
-            F.try_divide(F.col("dot"), F.sqrt("squares") * F.sqrt("source_squares")), digits
-        ).alias("score"),
-    )
+    norms = F.sqrt("squares") * math.sqrt(source_squares or 0)
+    scores = sums.where(F.lit(raters > 0)).select(
+        "movie_id", F.round(F.try_divide(F.col("dot"), norms), digits).alias("score"))
     return scores.join(movies, "movie_id").orderBy(F.desc("score"), F.asc("movie_id"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skytally.functions.text import COMMON_WORDS, format_top_words, normalize, tokenize_delimiters, tokenize_sentence
+from skytally.functions.text import COMMON_WORDS, SENTENCE_DELIMITERS, delimiter_class, format_top_words, normalize
+from skytally.functions.text import tokenize_sentence
 from skytally.plans.joins import fits_broadcast
 from skytally.plans.ranking import top_k
 
@@ -13,14 +14,21 @@ def words_of(lines: DataFrame, tokens: Column) -> DataFrame:
     return lines.select(F.explode(tokens).alias("word"))
 
 
+def _words_between(lines: DataFrame, text: Column, pattern: str) -> DataFrame:
+    """Non-empty words. Empty ones are dropped as rows: a filter inside the array would leave generated code."""
+    return words_of(lines, F.split(text, pattern)).where(F.col("word") != "")
+
+
 def title_words(lines: DataFrame, delimiters: str) -> DataFrame:
     """Lower-case words of the column ``value``, split by delimiter characters."""
-    words = words_of(lines, tokenize_delimiters(F.lower("value"), delimiters))
+    words = _words_between(lines, F.lower("value"), delimiter_class(delimiters))
     return words.select(F.trim("word").alias("word")).where(F.col("word") != "")
 
 
 def sentence_words(lines: DataFrame, keep_empty: bool = False) -> DataFrame:
-    return words_of(lines, tokenize_sentence(F.col("value"), keep_empty))
+    if keep_empty:
+        return words_of(lines, tokenize_sentence(F.col("value"), keep_empty))
+    return _words_between(lines, F.col("value"), SENTENCE_DELIMITERS)
 
 
 def normalized_words(words: DataFrame) -> DataFrame:

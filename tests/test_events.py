@@ -100,7 +100,7 @@ def test_membership_log(lines):
         " 1.0.0.0:0 [0] APP", " 3.0.0.0:0 [1] Trying to join...", " 1.0.0.0:0 [1] Node 2.0.0.0:0 joined at time 1",
         " 1.0.0.0:0 [2] Node 3.0.0.0:0 joined at time 2", " 2.0.0.0:0 [2] Node 3.0.0.0:0 joined at time 2",
         " 3.0.0.0:0 [2] Node 1.0.0.0:0 joined at time 2", " 3.0.0.0:0 [3] Node 3.0.0.0:0 joined at time 3",
-        " 3.0.0.0:0 [100] Node failed at time=100", " 3.0.0.0:0 [100] Node failed at time 100",
+        " 3.0.0.0:0 [100] Node failed at time=100", " 3.0.0.0:0 [100] Node failed at time = 100", " 9.0.0.0:0 [5] Node left early",
         " 1.0.0.0:0 [126] Node 3.0.0.0:0 removed at time 126", " 2.0.0.0:0 [126] Node 3.0.0.0:0 removed at time 126",
         " 2.0.0.0:0 [130] Node 1.0.0.0:0 removed at time 130"))
     assert log.count() == 9

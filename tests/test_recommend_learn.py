@@ -22,7 +22,7 @@ def movies(spark):
 
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_similarity(ratings, movies, monkeypatch, broadcast):
-    monkeypatch.setattr("skytally.operators.recommend.fits_broadcast", lambda df: broadcast)
+    monkeypatch.setattr("skytally.operators.recommend.BROADCAST_ROWS", 100 if broadcast else 0)
     found = recommend.movie_similarity(ratings, movies, 10)
     scores = [(r.movie_id, r.score) for r in found.collect()]
     two = round(8 / (5 * math.sqrt(29)), 9)
