@@ -412,7 +412,7 @@ FEATURES = ["size", "price", "quantity", "discount"]
 
 
 def _members(t: Tables) -> DataFrame:
-    points = learn.assemble(inputs.part_features(t), FEATURES).persist()
+    points = durable(learn.assemble(inputs.part_features(t), FEATURES))
     return learn.kmeans_members(learn.fit_kmeans(points), points)
 
 
@@ -428,7 +428,7 @@ def kmeans_members(t: Tables) -> DataFrame:
 
 @query
 def random_forest_predict(t: Tables) -> DataFrame:
-    points = learn.assemble(inputs.part_features(t), FEATURES)
+    points = durable(learn.assemble(inputs.part_features(t), FEATURES))
     return learn.classify(learn.fit_forest(points), points, "part", *FEATURES)
 
 

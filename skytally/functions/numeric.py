@@ -34,6 +34,18 @@ def poisson_pmf(k: Column, mean: float) -> Column:
     return F.exp(-F.lit(mean) + k * math.log(mean) - log_factorial(k))
 
 
+def cosine_similarity(first: Column, second: Column, index: str = "user_index", value: str = "rating") -> Column:
+    """Cosine of two sparse vectors: arrays of structs with an ``index`` that does not repeat and a ``value``.
+
+    For two given vectors; all similarities to one item are an aggregation, see the recommender.
+    """
+    values = F.map_from_entries(F.transform(first, lambda e: F.struct(e[index], e[value])))
+    other = lambda e: F.coalesce(F.try_element_at(values, e[index]), F.lit(0))
+    dot = F.aggregate(second, F.lit(0.0), lambda s, e: s + other(e) * e[value])
+    squares = lambda vector: F.aggregate(vector, F.lit(0.0), lambda s, e: s + e[value] * e[value])
+    return F.try_divide(dot, F.sqrt(squares(first)) * F.sqrt(squares(second)))
+
+
 def ring_position(key: Column, ring_size: int = RING_SIZE) -> Column:
     """Stable position of a key on the ring, from the first 32 bits of its MD5."""
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % ring_size

@@ -13,7 +13,8 @@ RANGE_WIDTH = 1_000_000
 
 
 def _ranged(log: DataFrame, width: int) -> DataFrame:
-    return log.withColumn("_range", F.floor(F.col("seq") / width))
+    known = log.where(F.col("key").isNotNull() & F.col("seq").isNotNull())
+    return known.withColumn("_range", F.expr(f"seq div {width}")).where(F.col("_range").isNotNull())
 
 
 def changelog_state(log: DataFrame, width: int = RANGE_WIDTH) -> DataFrame:
@@ -41,7 +42,7 @@ def changelog_state(log: DataFrame, width: int = RANGE_WIDTH) -> DataFrame:
 
 def changelog_audit(log: DataFrame, width: int = RANGE_WIDTH) -> DataFrame:
     """Every operation with ``success``: a create always succeeds, the others need an existing key."""
-    ranged = _ranged(log, width)
+    ranged = _ranged(log.select("key", "seq", "op"), width).repartition("key", "_range")  # shared by both branches
     decides = F.col("op").isin("CREATE", "DELETE")
     last = ranged.groupBy("key", "_range").agg(F.max_by("op", F.when(decides, F.col("seq"))).alias("_last"))
     earlier_ranges = Window.partitionBy("key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

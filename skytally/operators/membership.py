@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skytally.plans.durable import durable
+
 # Ticks without progress until a member is suspected, and further ticks until it is removed.
 FAIL_TICKS = 5
 REMOVE_TICKS = 20
@@ -55,15 +57,16 @@ def parse_membership_log(lines: DataFrame) -> DataFrame:
 def membership_audit(log: DataFrame) -> DataFrame:
     """Per member: by how many other nodes its joining and removal were logged, whether it failed, and two verdicts.
 
+    The log is read once: what follows needs only the distinct pairs of nodes, which are kept.
     ``complete``: a failed member was removed by every other observer. ``accurate``: only a failed member was removed.
     """
-    pairs = log.groupBy("member", "observer").agg(
+    pairs = durable(log.groupBy("member", "observer").agg(
         F.max((F.col("action") == "joined").cast("int")).alias("joined"),
         F.max((F.col("action") == "removed").cast("int")).alias("removed"),
         F.max((F.col("action") == "failed").cast("int")).alias("failed"),
-    )
+    ))
     other = (F.col("observer") != F.col("member")).cast("int")
-    observers = log.select("observer").distinct()
+    observers = pairs.select("observer").distinct()
     members = pairs.groupBy("member").agg(
         F.sum(F.col("joined") * other).alias("joined_by"),
         F.sum(F.col("removed") * other).alias("removed_by"),

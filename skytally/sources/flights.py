@@ -34,6 +34,13 @@ def read_flights(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return type_flights(raw)
 
 
+def parse_flight_lines(lines: DataFrame) -> DataFrame:
+    """Flights from text lines (column ``value``), e.g. of a message stream. Blank lines are skipped."""
+    schema = ", ".join(f"{column} STRING" for column in FLIGHT_COLUMNS)
+    parsed = F.from_csv("value", schema, {"mode": "PERMISSIVE"}).alias("flight")
+    return type_flights(lines.where(F.trim("value") != "").select(parsed).select("flight.*"))
+
+
 def read_manifest(spark: SparkSession, manifest: str | list[str]) -> list[str]:
     """Paths listed in a manifest, one per line. The list is the argument of a read, so it goes to the driver."""
     lines = spark.read.text(manifest).select(F.trim("value").alias("path")).where(F.col("path") != "")

@@ -62,6 +62,14 @@ def stop_when_idle(query: StreamingQuery, wait_seconds: float = 40.0, idle_waits
     query.stop()
 
 
+def show_batches(n: int = 10) -> BatchSink:
+    """A sink that prints the first rows of each micro-batch."""
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        batch.show(n, truncate=False)
+    return show
+
+
 class RunningTable:
     """Changed rows of a running aggregation, one folder per micro-batch.
 

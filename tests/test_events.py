@@ -103,7 +103,7 @@ def test_membership_log(lines):
         " 3.0.0.0:0 [100] Node failed at time=100", " 3.0.0.0:0 [100] Node failed at time = 100", " 9.0.0.0:0 [5] Node left early",
         " 1.0.0.0:0 [126] Node 3.0.0.0:0 removed at time 126", " 2.0.0.0:0 [126] Node 3.0.0.0:0 removed at time 126",
         " 2.0.0.0:0 [130] Node 1.0.0.0:0 removed at time 130"))
-    assert log.count() == 9
+    assert log.count() == 10
     found = membership.membership_audit(log).drop("peers")
     assert rows(found) == [
         ("1.0.0.0:0", 1, 1, False, True, False), ("2.0.0.0:0", 1, 0, False, True, True),
