@@ -18,12 +18,10 @@ UNREACHABLE = 2147483647  # fixed value: hop count of a vertex that cannot be re
 _MERGE_LEVELS = 16  # BFS levels after which the visited set is written as one table
 
 
-def _summary(pairs: DataFrame) -> tuple[int, int, int | None]:
-    """Of a set of pairs: its size, the number of upper ends, and a hash of its content."""
-    per_end = pairs.groupBy("hi").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("h"))
-    row = per_end.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("ends"),
-                      F.bit_xor("h").alias("h")).first()
-    return row.n, row.ends, row.h
+def _sizes(pairs: DataFrame) -> tuple[int, int]:
+    """Number of (hi, lo) pairs and of their upper ends."""
+    row = pairs.groupBy("hi").count().agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("ends")).first()
+    return row.n or 0, row.ends
 
 
 def connected_components(
@@ -32,26 +30,28 @@ def connected_components(
     """``(id, component)``: the smallest vertex id of the weakly connected component.
 
     Alternating star contraction: every edge is kept as (hi, lo). First each edge is moved to the smallest neighbour
-    of its lower end, then all lower neighbours of a vertex are tied to the smallest one. The number of edges never
-    grows, the number of rounds is logarithmic, and the hubs that arise are joined by :func:`lookup_join`.
+    of its lower end, then all lower neighbours of a vertex are tied to the smallest one. Once every vertex has one
+    lower neighbour the edges are trees, each a component with its smallest vertex as root, and moving alone flattens
+    them. The number of edges never grows, the number of rounds is logarithmic, and the hubs that arise are joined by
+    :func:`lookup_join`.
     """
-    pairs = (
+    state = durable(
         edges.where("src <> dst")
         .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
         .distinct()
     )
-    state = durable(pairs)
-    summary = _summary(state)
-    while summary[0] > 0:
-        total, ends, _ = summary
+    total, ends = _sizes(state)
+    while total > 0:
         lowest = state.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("m"))
-        moved = durable(
-            lookup_join(state, lowest, "lo", total, "left", rows_per_task)
-            .select("hi", F.coalesce("m", "lo").alias("lo"))
-            .distinct()
-        )
-        if total == ends and _summary(moved) == summary:  # every vertex is tied to one root and no root moves
-            break
+        moves = lookup_join(state, lowest, "lo", total, "left", rows_per_task)
+        target = F.coalesce("m", "lo").alias("lo")
+        if total == ends:
+            moved = durable(moves.select("hi", target, F.col("m").isNotNull().alias("moved")))
+            if moved.where("moved").isEmpty():
+                break
+            state = moved.select("hi", "lo")
+            continue
+        moved = durable(moves.select("hi", target).distinct())
         lowest = moved.groupBy("hi").agg(F.min("lo").alias("m"))
         tie = F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))
         state = durable(
@@ -60,7 +60,7 @@ def connected_components(
             .where("hi <> lo")
             .distinct()
         )
-        summary = _summary(state)
+        total, ends = _sizes(state)
     roots = state.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
     return vertices.select("id").join(roots, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
