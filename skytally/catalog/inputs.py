@@ -138,8 +138,7 @@ def raw_ratings(tables: Tables) -> DataFrame:
 def ratings(tables: Tables) -> DataFrame:
     """The last rating of each customer for each part ordered."""
     rows = raw_ratings(tables)
-    latest = latest_ratings(rows, "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "rating")
-    return latest.select("user_id", "movie_id", "rating")
+    return latest_ratings(rows, "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "rating")
 
 
 def movies(tables: Tables) -> DataFrame:
@@ -179,15 +178,20 @@ def replicas(tables: Tables) -> DataFrame:
     return copies.select("key", "r", value.alias("value"))
 
 
+def _hours(ts: str):
+    """Hours since 1970 by the wall clock, whatever the session's time zone."""
+    return (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) * 24 + F.hour(ts)).cast("bigint")
+
+
 def heartbeats(events: DataFrame) -> DataFrame:
     """One heartbeat per event; a tick is an hour."""
-    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
+    hour = _hours("ts")
     return events.select(F.col("user_id").alias("member"), F.col("event_id").alias("heartbeat"), hour.alias("tick"))
 
 
 def membership_lines(tables: Tables) -> DataFrame:
     """Log lines of users about the nodes that their event properties name."""
-    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
+    hour = _hours("ts")
     node = F.get_json_object("props", "$.k")
     own = F.concat(F.col("user_id"), F.lit(".0.0.0:0 ["), hour, F.lit("] Node "))
     other = lambda action: F.concat(own, node, F.lit(f".0.0.0:0 {action} at time "), hour)

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, functions as F
 from skytally.plans.durable import durable
 from skytally.plans.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 from skytally.plans.ranking import top_k, with_position
-from skytally.sinks.tables import latest_by_key
 
 BLOCK = 4096  # users per block of a rating vector
 
 
 def latest_ratings(ratings: DataFrame, *sequence: str) -> DataFrame:
     """One rating per user and movie: the last in ``sequence`` order."""
-    return latest_by_key(ratings, ["user_id", "movie_id"], *sequence)
+    newest = F.max_by("rating", F.struct(*sequence)).alias("rating")
+    return ratings.groupBy("user_id", "movie_id").agg(newest)
 
 
 def distinct_users(ratings: DataFrame) -> DataFrame:

@@ -53,10 +53,14 @@ def read_column_list(spark: SparkSession, path: str) -> list[str]:
 
 
 def latest_by_key(rows: DataFrame, keys: list[str], *sequence: str) -> DataFrame:
-    """The last written row of each key. Rows are reduced before the exchange, so a hot key costs nothing."""
-    values = [c for c in rows.columns if c not in keys]
-    newest = F.max_by(F.struct(*values), F.struct(*sequence)).alias("_row")
-    return rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
+    """The last written row of each key; rows of equal ``sequence`` are decided by their values.
+
+    Rows are reduced before the exchange, so a key with many rows costs no more than others.
+    """
+    values = [*sequence, *(c for c in rows.columns if c not in keys and c not in sequence)]
+    newest = F.max(F.struct(*values)).alias("_row")
+    latest = rows.groupBy(*keys).agg(newest)
+    return latest.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in rows.columns])
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], *sequence: str) -> DataFrame:

@@ -12,8 +12,9 @@ def kafka_options(
     from_start: bool = True,
     max_records_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    group: str | None = None,
 ) -> dict[str, str]:
-    """Options of the Kafka source: where to start, and the rate cap per trigger."""
+    """Options of the Kafka source: where to start, the rate cap per trigger, and the consumer group if one is set."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -24,6 +25,8 @@ def kafka_options(
         options["maxOffsetsPerTrigger"] = str(max_records_per_trigger)
     if min_partitions is not None:
         options["minPartitions"] = str(min_partitions)
+    if group is not None:
+        options["kafka.group.id"] = group
     return options
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructType
@@ -88,7 +89,12 @@ class RunningTable:
 
     def changes(self, spark: SparkSession) -> DataFrame:
         schema = StructType(list(self.schema.fields)).add("batch_id", LongType())
-        return spark.read.schema(schema).parquet(self.path)
+        try:
+            return spark.read.schema(schema).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)  # no batch yet
 
     def current(self, spark: SparkSession) -> DataFrame:
         values = [name for name in self.schema.names if name not in self.keys]

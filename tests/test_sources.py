@@ -132,5 +132,6 @@ def test_stream_options():
     assert streams.kafka_options("host:6667", "flights", max_records_per_trigger=3_000_000, min_partitions=8) == {
         "kafka.bootstrap.servers": "host:6667", "subscribe": "flights", "startingOffsets": "earliest",
         "failOnDataLoss": "true", "maxOffsetsPerTrigger": "3000000", "minPartitions": "8"}
-    assert streams.kafka_options("h:1", "t", from_start=False)["startingOffsets"] == "latest"
+    other = streams.kafka_options("h:1", "t", from_start=False, group="g")
+    assert (other["startingOffsets"], other["kafka.group.id"]) == ("latest", "g")
     assert streams.file_options(1, "*.csv") == {"maxFilesPerTrigger": "1", "pathGlobFilter": "*.csv"}

@@ -112,6 +112,13 @@ def test_text_stream(spark, tmp_path):
     assert rows(found) == [("cow", 2)]
 
 
+def test_a_stream_without_input_gives_an_empty_result(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = lambda: stream_source(spark, "text", f"{tmp_path}/in")
+    assert rows(jobs.stream_word_count(stream())) == []
+    assert rows(jobs.stream_top_words(stream())) == []
+
+
 def test_registered_streams_are_registered_with_sql():
     from skytally.catalog.oracles import ORACLES
     assert {n for n in queries.QUERIES if n.startswith("stream_")} <= set(ORACLES)
