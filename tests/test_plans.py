@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from skytally.plans.durable import checkpoint_root, durable, scratch_path
 from skytally.plans.joins import fits_broadcast, lookup_join, restrict_to
 from skytally.plans.ranking import count_below, top_k, with_position
+from skytally.session import shuffle_conf
 from tests.conftest import rows
 
 
@@ -17,6 +18,11 @@ def test_positions_are_whole_over_many_partitions(spark):
     assert rows(found.agg(F.min("id"), F.max("id"), F.count_distinct("id"))) == [(0, 4999, 5000)]
 
 
+def test_shuffle_partitions_follow_data_and_cores():
+    assert shuffle_conf(10 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "81920"
+    assert shuffle_conf(0, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
 def test_positions_of_nothing(spark):
     assert with_position(spark.createDataFrame([], "v INT"), F.asc("v")).collect() == []
 
