@@ -40,18 +40,20 @@ def heartbeat_status(advances: DataFrame, now: int | Column) -> DataFrame:
 def parse_membership_log(lines: DataFrame) -> DataFrame:
     """``(observer, tick, member, action)``; for a ``failed`` line the observer is the member. Other lines drop out.
 
-    A line is split once; its words tell what it is.
+    A line is split once and its words tell what it is. Matching lines come out of a generator and not of a filter,
+    which the planner would push below the split and so split the line for every word it looks at.
     """
     word = lambda i: F.get("w", F.lit(i))
     failed = (word(3) == "failed") & (word(4) == "at") & F.startswith(word(5), F.lit("time"))
     changed = word(4).isin(*CHANGES) & (word(5) == "at") & (word(6) == "time")
-    split = lines.select(F.split(F.trim("value"), " ").alias("w")).where(word(2) == "Node")
-    return split.where(failed | changed).select(
+    entry = F.struct(
         word(0).alias("observer"),
         F.translate(word(1), "[]", "").try_cast("bigint").alias("tick"),
         F.when(failed, word(0)).otherwise(word(3)).alias("member"),
         F.when(failed, word(3)).otherwise(word(4)).alias("action"),
     )
+    split = lines.select(F.split(F.trim("value"), " ").alias("w"))
+    return split.select(F.inline(F.when((word(2) == "Node") & (failed | changed), F.array(entry))))
 
 
 def membership_audit(log: DataFrame) -> DataFrame:

@@ -20,10 +20,11 @@ def parse_adjacency(lines: DataFrame) -> DataFrame:
     ids = F.transform(
         F.filter(F.split("value", r"[:\s]+"), lambda token: token != ""), lambda token: token.try_cast("bigint")
     )
-    vertices = lines.select(ids.alias("ids")).where(F.size("ids") > 0)
-    return vertices.select(
-        F.col("ids")[0].alias("src"), F.posexplode_outer(F.slice("ids", 2, F.size("ids"))).alias("position", "dst")
-    ).select("src", "dst", "position")
+    src, count = F.get("ids", F.lit(0)).alias("src"), F.size("ids")
+    link = lambda dst, position: F.struct(src, dst.alias("dst"), position.alias("position"))
+    links = F.transform(F.slice("ids", 2, count), link)
+    alone = F.array(link(F.lit(None).cast("bigint"), F.lit(None).cast("int")))
+    return lines.select(ids.alias("ids")).select(F.inline(F.when(count > 1, links).when(count == 1, alone)))
 
 
 def read_adjacency(spark: SparkSession, paths: str | list[str]) -> DataFrame:
