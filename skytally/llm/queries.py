@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skytally.llm.near import jaccard_groups
 from skytally.llm.substrings import remove_repeated_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,10 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_windows(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_substring_dedup,)}
+def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_groups(table(spark, folder, "documents"), n=4, num=85, den=100)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_ngram_jaccard_join, op7_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
