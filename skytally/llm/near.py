@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skytally.llm.packing import (
-    PACKED, WordHashes, dealt, mix, packed_rows, read_replies, replies, texts_of, window_hashes,
+    PACKED, dealt, distinct, mix, packed_rows, read_replies, replies, texts_of, window_hashes, word_hashes,
 )
 from skytally.operators.graph import connected_components
 from skytally.plans.durable import durable
@@ -25,15 +26,16 @@ _FOLD = bytes.maketrans(_UPPER, _LOWER)
 DELETION_LIMIT = 3
 
 _SETS = "doc_id long, n_shingles long, set_key binary"
-_KEPT = "doc_id long, signature long, packed_text binary"
+_FACTS = ("size", "sketch", "packed_text")  # of a document, on one of its rows
+_KEPT = "doc_id long, signature long, size long, sketch array<long>, packed_text binary"
 
 
-def shingle_set(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: bytes, n: int) -> np.ndarray:
     """Ascending distinct 64-bit hashes of the ``n``-word shingles; of the whole sequence if it is shorter."""
-    words = hashes.of(text.translate(_FOLD).split())
+    words = word_hashes(text.translate(_FOLD).split())
     if not len(words):
         return words
-    return np.unique(window_hashes(words, min(n, len(words))) ^ np.uint64(0 if len(words) >= n else len(words)))
+    return distinct(window_hashes(words, min(n, len(words))) ^ np.uint64(0 if len(words) >= n else len(words)))
 
 
 class Bands:
@@ -46,6 +48,7 @@ class Bands:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.lows = [1]
+        self._cuts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def _low(self, k: int) -> int:
         while len(self.lows) <= k:
@@ -72,24 +75,43 @@ class Bands:
         h = self.differences(k)
         return h // 2 + 1 if h <= DELETION_LIMIT else 2 * h + 1
 
+    def cuts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the segments of band k begin among all 64-bit hashes (but the first), and a salt for each segment."""
+        if k not in self._cuts:
+            m = self.segments(k)
+            begins = np.array([i * 2**64 // m for i in range(1, m)], np.uint64)
+            self._cuts[k] = begins, mix(np.uint64(k << 32) + np.arange(m, dtype=np.uint64))
+        return self._cuts[k]
+
+
+def _spread(shingles: np.ndarray) -> np.ndarray:
+    return mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
+
+
+def sketch(shingles: np.ndarray) -> list[int]:
+    """How many shingles fall in each of 1,024 cells, as odd or even, in 16 numbers.
+
+    An element in which two sets differ changes one cell, so the sketches differ in at most as many bits as the sets
+    in elements.
+    """
+    odd = np.bincount((_spread(shingles) >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
+
 
 def signatures(shingles: np.ndarray, bands: Bands) -> list[tuple[int, np.ndarray]]:
     """For each band that a set is signed in: how many signatures it has to keep, and all of them."""
-    spread = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
+    spread = _spread(shingles)
     sums = np.r_[np.uint64(0), np.cumsum(spread, dtype=np.uint64)]
-    high = shingles >> np.uint64(32)
     found = []
     for k in bands.of(len(shingles)):
-        m = bands.segments(k)
-        segment = (high * np.uint64(m)) >> np.uint64(32)  # ascending, as the shingles are
-        edges = np.searchsorted(segment, np.arange(m + 1, dtype=np.uint64))
-        content = sums[edges[1:]] - sums[edges[:-1]]
-        salt = mix(np.uint64(k << 32) + np.arange(m, dtype=np.uint64))
+        begins, salt = bands.cuts(k)
+        edges = np.r_[0, np.searchsorted(shingles, begins), len(shingles)]
+        content = np.diff(sums[edges])
         exact = mix(content + salt)
         h = bands.differences(k)
         if h <= DELETION_LIMIT:
-            at = segment.astype(np.int64)
-            found.append((len(shingles) + m, np.unique(np.r_[exact, mix(content[at] - spread + salt[at])])))
+            at = np.repeat(np.arange(len(salt)), np.diff(edges))
+            found.append((len(shingles) + len(salt), distinct(np.r_[exact, mix(content[at] - spread + salt[at])])))
         else:
             found.append((h + 1, exact))
     return found
@@ -106,11 +128,10 @@ def _sets(documents: DataFrame, n: int) -> DataFrame:
     """``(doc_id, n_shingles, set_key)`` of every document; the key is a 128-bit hash of the set."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             sizes, keys = [], []
             for text in texts_of(batch):
-                found = shingle_set(text, n, hashes)
+                found = shingle_set(text, n)
                 sizes.append(len(found))
                 keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
@@ -132,14 +153,14 @@ def _kept_signatures(documents: DataFrame, chosen: DataFrame, n: int, bands: Ban
     keyed = durable(docs.select("batch", "doc_id").distinct().join(chosen, "doc_id")).select(
         F.col("batch").alias("batch"), F.col("doc_id").alias("doc_id"), "set_key")
 
-    def of_batch(table: pa.Table, wanted: pa.Table) -> list[tuple[int, bytes, list[tuple[int, np.ndarray]]]]:
-        hashes, found = WordHashes(), []
+    def of_batch(table: pa.Table, wanted: pa.Table) -> list[tuple]:
+        found = []
         left = set(zip(wanted["doc_id"].to_pylist(), wanted["set_key"].to_pylist()))
         for doc_id, text in zip(table["doc_id"].to_pylist(), texts_of(table)):
-            shingles = shingle_set(text, n, hashes) if left else ()
+            shingles = shingle_set(text, n) if left else ()
             if len(shingles) and (key := (doc_id, xxhash.xxh3_128_digest(shingles.tobytes()))) in left:
                 left.discard(key)
-                found.append((doc_id, text, signatures(shingles, bands)))
+                found.append((doc_id, text, shingles, signatures(shingles, bands)))
         return found
 
     def every(found: list) -> np.ndarray:
@@ -147,16 +168,18 @@ def _kept_signatures(documents: DataFrame, chosen: DataFrame, n: int, bands: Ban
         return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
     def send(key: tuple[pa.Scalar, ...], table: pa.Table, wanted: pa.Table) -> pa.Table:
-        keys, counts = np.unique(every(of_batch(table, wanted)), return_counts=True)
+        signed = np.sort(every(of_batch(table, wanted)))
+        first = np.flatnonzero(np.r_[True, signed[1:] != signed[:-1]]) if len(signed) else np.empty(0, np.int64)
+        keys, counts = signed[first], np.diff(np.r_[first, len(signed)])
         return packed_rows(key[0].as_py(), keys, counts, ranges)
 
     def keep(table: pa.Table, told: pa.Table) -> pa.Table:
         wanted = told.filter(pa.compute.is_valid(told["set_key"]))
         found = of_batch(table, wanted)
-        keys = np.unique(every(found))
+        keys = distinct(every(found))
         costs = read_replies(told.filter(pa.compute.is_valid(told["reply"])))
-        ids, kept, packed = [], [], []
-        for doc_id, text, of_bands in found:
+        ids, kept, sizes, sketches, packed = [], [], [], [], []
+        for doc_id, text, shingles, of_bands in found:
             mine = []
             for need, signed in of_bands:
                 cost = costs[np.searchsorted(keys, signed)]
@@ -166,9 +189,13 @@ def _kept_signatures(documents: DataFrame, chosen: DataFrame, n: int, bands: Ban
             if len(mine):
                 ids += [doc_id] * len(mine)
                 kept += mine.view(np.int64).tolist()
+                sizes += [len(shingles)] + [None] * (len(mine) - 1)
+                sketches += [sketch(shingles)] + [None] * (len(mine) - 1)
                 packed += [zstandard.ZstdCompressor(level=1).compress(text)] + [None] * (len(mine) - 1)
-        return pa.table([pa.array(ids, pa.int64()), pa.array(kept, pa.int64()), pa.array(packed, pa.binary())],
-                        names=["doc_id", "signature", "packed_text"])
+        return pa.table(
+            [pa.array(ids, pa.int64()), pa.array(kept, pa.int64()), pa.array(sizes, pa.int64()),
+             pa.array(sketches, pa.list_(pa.int64())), pa.array(packed, pa.binary())],
+            names=["doc_id", "signature", "size", "sketch", "packed_text"])
 
     by_batch = docs.groupBy("batch")
     sent = by_batch.cogroup(keyed.groupBy("batch")).applyInArrow(send, PACKED)
@@ -178,25 +205,34 @@ def _kept_signatures(documents: DataFrame, chosen: DataFrame, n: int, bands: Ban
     return by_batch.cogroup(told.groupBy("batch")).applyInArrow(keep, _KEPT)
 
 
+def _may_link(num: int, den: int) -> Column:
+    """Whether sizes and sketches leave room for the similarity; true for every linked pair."""
+    differ = reduce(Column.__add__, [F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i]))
+                                     for i in range(16)])
+    near = F.greatest("size_a", "size_b") * num <= F.least("size_a", "size_b") * den
+    return near & (differ * (den + num) <= (F.col("size_a") + F.col("size_b")) * (den - num))
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The ``(a, b)`` of ``pairs`` whose sets reach the similarity exactly."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor().decompress
+        unpack = zstandard.ZstdDecompressor().decompress
         last, left = None, np.empty(0, np.uint64)
         for batch in batches:
             out: list[bool] = []
-            for text_a, text_b in zip(batch["text_a"].to_pylist(), batch["text_b"].to_pylist()):
+            for text_a, text_b in zip(batch["packed_text_a"].to_pylist(), batch["packed_text_b"].to_pylist()):
                 if text_a != last:
-                    last, left = text_a, shingle_set(unpack(text_a), n, hashes)
-                right = shingle_set(unpack(text_b), n, hashes)
+                    last, left = text_a, shingle_set(unpack(text_a), n)
+                right = shingle_set(unpack(text_b), n)
                 common = len(np.intersect1d(left, right, assume_unique=True))
                 out.append(den * common >= num * (len(left) + len(right) - common))
             yield batch.select(["a", "b"]).filter(pa.array(out, pa.bool_()))
 
-    sides = [texts.select(F.col("doc_id").alias(s), F.col("packed_text").alias(f"text_{s}")) for s in "ab"]
-    return pairs.join(sides[1], "b").join(sides[0], "a").select("a", "b", "text_a", "text_b").mapInArrow(
-        compare, "a long, b long")
+    sides = [texts.select(F.col("doc_id").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in _FACTS)) for s in "ab"]
+    return (
+        pairs.join(sides[1], "b").join(sides[0], "a").where(_may_link(num, den))
+        .select("a", "b", "packed_text_a", "packed_text_b").mapInArrow(compare, "a long, b long"))
 
 
 def _groups(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -218,8 +254,9 @@ def jaccard_groups(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     3. Signatures are counted over the corpus and each set keeps its H + 1 rarest (one common order, so that the rarest
        equal segment of a linked pair is kept by both). Frequent passages, empty segments and the unchanged parts of
        large groups of copies are thereby left out without losing a link.
-    4. The sets that share a kept signature are compared with the smallest of them, exactly, on their texts. Those of
-       different groups that still share a signature are then compared with each other.
+    4. The sets that share a kept signature are compared with the smallest of them. Those of different groups that
+       still share a signature are then compared with each other. Sketches of 1,024 bits, whose distance never exceeds
+       that of the sets, turn most of these pairs away inside the join; the others are compared exactly, on their texts.
 
     Null ids: the row keeps its shingle count, has no component and links with nothing. Rows with one id are one node.
     Other columns are ignored; an empty table gives an empty table.
@@ -230,8 +267,8 @@ def jaccard_groups(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5)
         sets.where("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep")))
     chosen = first.select(F.col("rep").alias("doc_id"), "set_key")
     kept = durable(_kept_signatures(documents.where("doc_id IS NOT NULL"), chosen, n, bands))
+    texts = kept.where("packed_text IS NOT NULL").select("doc_id", *_FACTS)
     shared = kept.select("doc_id", "signature")
-    texts = kept.where("packed_text IS NOT NULL").select("doc_id", "packed_text")
 
     pivots = durable(shared.groupBy("signature").agg(
         F.min("doc_id").alias("a"), F.max("doc_id").alias("_last")).where("a < _last").drop("_last"))
@@ -243,11 +280,12 @@ def jaccard_groups(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     placed = durable(shared.join(groups.withColumnRenamed("id", "doc_id"), "doc_id"))
     open_signatures = durable(placed.groupBy("signature").agg(
         F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y").select("signature"))
-    left = durable(placed.join(open_signatures, "signature"))
-    sides = [left.select("signature", F.col("doc_id").alias(s), F.col("component").alias(f"of_{s}")) for s in "ab"]
+    left = durable(placed.join(open_signatures, "signature").join(texts.drop("packed_text"), "doc_id"))
+    sides = [left.select("signature", F.col("doc_id").alias(s), *(
+        F.col(c).alias(f"{c}_{s}") for c in ("component", "size", "sketch"))) for s in "ab"]
     rest = (
-        sides[0].join(sides[1], "signature").where("a < b AND of_a <> of_b").select("a", "b").distinct()
-        .join(tested, ["a", "b"], "left_anti"))
+        sides[0].join(sides[1], "signature").where("a < b AND component_a <> component_b").where(_may_link(num, den))
+        .select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
     more = durable(_linked(durable(rest), texts, n, num, den))
     every = links.unionByName(more)
     merged = groups if more.isEmpty() else _groups(nodes, every)

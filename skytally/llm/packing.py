@@ -21,20 +21,17 @@ ENTRIES_PER_RANGE = 1_000_000
 LEAST_GROUPS = 256
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that a changed word always changes the sum
-_MEMO = 400_000
 
 
-class WordHashes(dict):
-    """64-bit hash of a word (bytes), remembered up to a bounded number of words."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hash of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MEMO:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Ascending distinct keys."""
+    keys = np.sort(keys)
+    return keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from skytally.llm.packing import (
-    PACKED, WordHashes, dealt, packed_rows, read_replies, replies, texts_of, window_hashes,
+    PACKED, dealt, packed_rows, read_replies, replies, texts_of, window_hashes, word_hashes,
 )
 
 WINDOW = 13
@@ -22,7 +22,7 @@ _LAST = np.iinfo(np.int64).max  # stands for a null id: later than every other
 class _Windows:
     """The windows of one batch, its documents ordered by id."""
 
-    def __init__(self, table: pa.Table, n: int, hashes: WordHashes):
+    def __init__(self, table: pa.Table, n: int):
         ids = np.array([_LAST if i is None else i for i in table["doc_id"].to_pylist()], np.int64)
         order = np.argsort(ids, kind="stable")
         texts = texts_of(table)
@@ -30,7 +30,7 @@ class _Windows:
         self.words = [texts[i].split() for i in order]
         sizes = np.array([len(w) for w in self.words], np.int64)
         self.ends = np.cumsum(sizes)
-        every = np.concatenate([hashes.of(w) for w in self.words])
+        every = np.concatenate([word_hashes(w) for w in self.words])
         owner = np.repeat(np.arange(len(sizes)), sizes)
         count = max(0, len(every) - n + 1)
         self.starts = np.flatnonzero(np.arange(count) + n <= self.ends[owner[:count]])
@@ -70,11 +70,11 @@ def remove_repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataF
     docs, ranges = dealt(documents)
 
     def send(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        w = _Windows(table, window, WordHashes())
+        w = _Windows(table, window)
         return packed_rows(key[0].as_py(), w.keys, w.smallest, ranges)
 
     def remove(docs_table: pa.Table, reply: pa.Table) -> pa.Table:
-        w = _Windows(docs_table, window, WordHashes())
+        w = _Windows(docs_table, window)
         gone = (read_replies(reply).astype(bool)[w.at] | (w.doc > w.smallest[w.at])) if len(w.at) else w.at.astype(bool)
         steps = np.zeros(w.size + 1, np.int64)
         hit = w.starts[gone]
