@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skytally.llm.mixing import mix_sources, mixing_sql
 from skytally.llm.near import jaccard_groups
+from skytally.llm.rules import quality_rules
 from skytally.llm.substrings import remove_repeated_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +27,14 @@ def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(table(spark, folder, "documents"), n=4, num=85, den=100)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_ngram_jaccard_join, op7_substring_dedup)}
+def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents"))
 
-ORACLES: dict[str, str] = {}
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_ngram_jaccard_join, op7_substring_dedup, op9_mix_sources, op10_quality_rules)}
+
+ORACLES: dict[str, str] = {"op9_mix_sources": mixing_sql()}
