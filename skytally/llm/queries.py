@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skytally.llm.decontam import contaminated_words
 from skytally.llm.mixing import mix_sources, mixing_sql
 from skytally.llm.near import jaccard_groups
 from skytally.llm.rules import quality_rules
+from skytally.llm.secrets import scan_secrets
 from skytally.llm.substrings import remove_repeated_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +29,15 @@ def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(table(spark, folder, "documents"), n=4, num=85, den=100)
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(table(spark, folder, "documents")).drop("secrets")
+
+
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return contaminated_words(docs, items).drop("hit_spans")
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents"))
 
@@ -35,6 +46,6 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_ngram_jaccard_join, op7_substring_dedup, op9_mix_sources, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op5_ngram_jaccard_join, op7_substring_dedup, op8_benchmark_decontamination, op9_mix_sources, op10_quality_rules)}
 
 ORACLES: dict[str, str] = {"op9_mix_sources": mixing_sql()}
