@@ -50,7 +50,7 @@ def _bounded(table: DataFrame, row_bytes: int) -> DataFrame:
 def contaminated_words(
     documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
 ) -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``, and the hit intervals, of each document.
+    """``(doc_id, text_key, n_words, n_hit, n_items, items_sha256, contaminated, hit_spans)`` of each document.
 
     A document word is hit if it lies in an occurrence of a benchmark window. Built-in functions only:
 
@@ -135,6 +135,19 @@ def _result(rows: DataFrame, hit: DataFrame | None) -> DataFrame:
         lambda s: s["n"])
     items = F.coalesce("items", F.array().cast("array<string>"))
     return rows.select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
+        "doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
         F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         (covered > 0).alias("contaminated"), F.coalesce("spans", F.array().cast(span)).alias("hit_spans"))
+
+
+def clean_documents(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
+) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that hold no benchmark window.
+
+    Whether a row goes depends on its text alone, so the words' hash tells the rows to drop.
+    """
+    rated = contaminated_words(documents, benchmark, window, shingle)
+    bad = _bounded(durable(rated.where("contaminated").select("text_key").distinct()), 64)
+    rows = documents.withColumn("_text_key", F.xxhash64(words()))
+    return rows.join(bad, F.col("_text_key") == F.col("text_key"), "left_anti").select(*documents.columns)

@@ -297,3 +297,13 @@ def jaccard_groups(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id")).alias("component_id")
     return sets.join(of_set, "set_key", "left").select(
         "doc_id", "n_shingles", component, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def one_of_each_group(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """The rows of ``documents``, with all their columns, whose id is the smallest of their group.
+
+    Of rows that share such an id one stays; rows without an id stay, as do texts without a word.
+    """
+    first = jaccard_groups(documents, n, num, den).where("component_id = doc_id").select("doc_id").distinct()
+    named = documents.join(durable(first), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*documents.columns).unionByName(documents.where("doc_id IS NULL"))
