@@ -7,6 +7,7 @@ pieces. Pieces are remembered per Python worker, up to a bounded number.
 from __future__ import annotations
 
 import functools
+import os
 import re
 from array import array
 
@@ -14,6 +15,9 @@ import public_tokenizers
 import regex
 from tokenizers import Tokenizer
 
+# Spark runs a worker for each core, so the library needs no threads of its own.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 
@@ -37,9 +41,15 @@ class Remembered:
 
     def unknown(self, pieces: set[str]) -> list[str]:
         """Those of ``pieces`` that have to be made; the others are in the young generation from now on."""
-        again = pieces.intersection(self.old)
-        self.young.update((p, self.old[p]) for p in again if p not in self.young)
-        return [p for p in pieces if p not in self.young]
+        young, old = self.young, self.old
+        new = []
+        for p in pieces:
+            if p not in young:
+                if p in old:
+                    young[p] = old[p]
+                else:
+                    new.append(p)
+        return new
 
 
 class Encoder:

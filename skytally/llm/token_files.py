@@ -19,7 +19,7 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
 BLOCK = 512  # ids that share an offset
 PAGE_IDS = 65_536  # a page ends with the document that reaches this
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 1024
 _MAGIC = b"S8P1"
 _HEAD = struct.Struct("<4sIQII")
 
@@ -198,7 +198,7 @@ def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, en
             yield flush()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pages = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(encode, _PAGES)
+    pages = rows.repartitionByRange(order[0]).sortWithinPartitions(*order).mapInArrow(encode, _PAGES)
     pages.write.option("parquet.block.size", 16 << 20).parquet(path)
 
 
