@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import rows_of
+from skytally.catalog.queries import QUERIES
 from tests.conftest import TABLES
 
 WITHOUT_SQL = {"kmeans_clusters", "kmeans_members", "random_forest_predict"}
@@ -10,7 +11,7 @@ WITHOUT_SQL = {"kmeans_clusters", "kmeans_members", "random_forest_predict"}
 
 def test_contract(spark):
     queries, sql = contract.queries(), contract.oracle_sql()
-    assert set(queries) - set(sql) == WITHOUT_SQL and set(sql) <= set(queries)
+    assert set(QUERIES) - set(sql) == WITHOUT_SQL and set(sql) <= set(queries)
     assert contract.entry(spark).count() > 0
 
 
