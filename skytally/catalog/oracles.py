@@ -343,8 +343,8 @@ ORACLES: dict[str, str] = {
     "quorum_write": f"""WITH {COPIES} SELECT key, count(value) AS acks, count(value) >= 2 AS success
      FROM copies GROUP BY key""",
     "ring_placement": f"WITH {RING} SELECT key, CAST(replica AS INT) AS replica, node FROM placed WHERE replica < 3",
-    "ring_balance": f"""WITH {RING} SELECT node, count(*) FILTER (WHERE replica = 0) AS keys, count(*) AS copies
-     FROM placed WHERE replica < 3 GROUP BY node""",
+    "ring_balance": f"""WITH {RING} SELECT s.node, count(key) FILTER (WHERE replica = 0) AS keys, count(key) AS copies
+     FROM (SELECT DISTINCT node FROM spots) s LEFT JOIN placed p ON p.node = s.node AND replica < 3 GROUP BY s.node""",
     "heartbeat_status": f"WITH {HEARTBEATS} SELECT * FROM status",
     "membership_audit": f"""WITH {MEMBERSHIP} SELECT member, joined_by, removed_by, failed, peers,
      NOT failed OR removed_by >= peers AS complete, failed OR removed_by = 0 AS accurate FROM with_peers""",

@@ -119,7 +119,7 @@ def trip_leg_best(t: Tables) -> DataFrame:
 
 @query
 def trip_best(t: Tables) -> DataFrame:
-    return trips.find_trips(inputs.flights(t, TRIP_FIELDS), inputs.trip_requests(t), few=False)
+    return trips.find_trips(inputs.flights(t, TRIP_FIELDS), inputs.trip_requests(t))
 
 
 @query

@@ -60,9 +60,13 @@ def ring_placement(keys: DataFrame, nodes: DataFrame, ring_size: int = RING_SIZE
 
 
 def ring_balance(keys: DataFrame, nodes: DataFrame, ring_size: int = RING_SIZE) -> DataFrame:
-    """``(node, keys, copies)``: keys owned and copies held per node. Keys are counted per position first."""
+    """``(node, keys, copies)``: keys owned and copies held per node; idle nodes have zeros.
+
+    Keys are counted per position first.
+    """
     loads = keys.groupBy(ring_position(F.col("key"), ring_size).alias("position")).agg(F.count(F.lit(1)).alias("n"))
-    held = loads.join(F.broadcast(ring_table(nodes, ring_size)), "position")
-    return held.groupBy("node").agg(
+    held = loads.join(F.broadcast(ring_table(nodes, ring_size)), "position").groupBy("node").agg(
         F.sum(F.when(F.col("replica") == 0, F.col("n")).otherwise(0)).alias("keys"), F.sum("n").alias("copies")
     )
+    return nodes.where("node IS NOT NULL").select("node").distinct().join(held, "node", "left").select(
+        "node", F.coalesce("keys", F.lit(0)).alias("keys"), F.coalesce("copies", F.lit(0)).alias("copies"))

@@ -72,10 +72,10 @@ def count_statistics(top: DataFrame, exact: bool = False) -> DataFrame:
         kind = "DOUBLE"
     else:
         # sum((n - m)^2) = sum(n^2) - 2 m sum(n) + count m^2, exact in whole numbers
-        sums = top.agg(count.alias("c"), total.alias("sum"), F.sum(F.col("n") * F.col("n")).alias("sq"),
+        sums = top.agg(count.alias("c"), total.alias("sum"), F.sum(F.col("n").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)")).alias("sq"),
                        low.alias("min"), high.alias("max"))
         stats = sums.withColumn("mean", F.expr("sum div c")).withColumn(
-            "var", F.expr("(sq - 2 * mean * sum + c * mean * mean) div c"))
+            "var", F.expr("(sq - CAST(mean AS DECIMAL(19,0)) * CAST(2 * sum - c * mean AS DECIMAL(19,0))) div c"))
         kind = "BIGINT"
     pairs = ", ".join(f"'{name.title()}', CAST({name} AS {kind})" for name in ("mean", "sum", "min", "max", "var"))
     return stats.select(F.expr(f"stack(5, {pairs})").alias("name", "value"))

@@ -43,11 +43,12 @@ def stream_mean_delay(flights: DataFrame, pairs: DataFrame, root: str | None = N
     return means.current(flights.sparkSession)
 
 
-def stream_best_trips(
-    flights: DataFrame, requests: DataFrame, few: bool | None = None, root: str | None = None
-) -> DataFrame:
-    """State: the best flight per airports, date and half of the day, of requested legs if those are few."""
-    best = run_to_table(trips.best_flights(trips.only_requested(flights, requests, few)), trips.LEG_KEY, root)
+def stream_best_trips(flights: DataFrame, requests: DataFrame, root: str | None = None) -> DataFrame:
+    """State: the best flight per airports, date and half of the day, whatever is requested.
+
+    Requests are joined when the state is read, so a root can be continued with another list.
+    """
+    best = run_to_table(trips.best_flights(flights), trips.LEG_KEY, root)
     return trips.best_trips(best.current(flights.sparkSession), requests)
 
 

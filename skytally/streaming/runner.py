@@ -52,13 +52,18 @@ def run_available(stream: DataFrame, sink: BatchSink, checkpoint: str, mode: str
 
 
 def stop_when_idle(query: StreamingQuery, wait_seconds: float = 40.0, idle_waits: int = 2) -> None:
-    """End a continuous query once ``idle_waits`` waits in a row have brought no new records."""
-    idle, seen = 0, -1
+    """End a continuous query once ``idle_waits`` waits in a row have brought no new records.
+
+    A wait at whose end a batch is running or input is waiting does not count, however long the batch takes. Nor does
+    one before the query has looked for input.
+    """
+    idle, seen = 0, None
     while idle < idle_waits and query.isActive:
         time.sleep(wait_seconds)
-        progress = [p for p in query.recentProgress if p.numInputRows > 0]
-        newest = progress[-1].batchId if progress else -1
-        idle = idle + 1 if newest == seen else 0
+        status, last = query.status, query.lastProgress
+        newest = max((p.batchId for p in query.recentProgress if p.numInputRows > 0), default=-1)
+        busy = status["isTriggerActive"] or status["isDataAvailable"] or last is None
+        idle = 0 if busy or newest != seen else idle + 1
         seen = newest
     query.stop()
 

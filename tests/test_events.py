@@ -76,6 +76,8 @@ def test_ring(spark):
     keys = spark.range(100).withColumnRenamed("id", "key")
     assert replicas.ring_placement(keys, nodes).count() == 300
     assert rows(replicas.ring_balance(keys, nodes).selectExpr("sum(keys)", "sum(copies)")) == [(100, 300)]
+    few = replicas.ring_balance(keys.limit(1), nodes)
+    assert few.count() == nodes.distinct().count() and few.where("copies = 0").count() == few.count() - 3
     assert replicas.ring_table(nodes.limit(2)).count() == 0
 
 

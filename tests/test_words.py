@@ -56,3 +56,9 @@ def test_top_words_and_statistics(spark):
 def test_report(spark):
     counts = spark.createDataFrame([("b", 7), ("a", 7), ("c", 9), ("d", 1)], "word STRING, n BIGINT")
     assert rows(words.top_words_report(counts, 3)) == [("top-words = [ (c , 9) , (a , 7) , (b , 7) ]",)]
+
+
+def test_statistics_of_large_counts(spark):
+    top = spark.createDataFrame([("a", 4_000_000_000), ("b", 0)], "word string, n long")
+    found = dict(rows(words.count_statistics(top)))
+    assert (found["Mean"], found["Var"]) == (2_000_000_000, 4 * 10**18)
