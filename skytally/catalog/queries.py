@@ -119,7 +119,7 @@ def trip_leg_best(t: Tables) -> DataFrame:
 
 @query
 def trip_best(t: Tables) -> DataFrame:
-    return trips.find_trips(inputs.flights(t, TRIP_FIELDS), inputs.trip_requests(t))
+    return trips.find_trips(inputs.flights(t, TRIP_FIELDS), inputs.trip_requests(t), few=False)
 
 
 @query
@@ -466,7 +466,7 @@ def stream_mean_delay(t: Tables) -> DataFrame:
 
 @query
 def stream_trip_best(t: Tables) -> DataFrame:
-    return jobs.stream_best_trips(_flight_stream(t, TRIP_FIELDS), inputs.trip_requests(t), few=False)
+    return jobs.stream_best_trips(_flight_stream(t, TRIP_FIELDS), inputs.trip_requests(t))
 
 
 @query

@@ -1,5 +1,5 @@
-import time
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
