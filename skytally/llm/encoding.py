@@ -11,6 +11,7 @@ import os
 import re
 from array import array
 
+import numpy as np
 import public_tokenizers
 import regex
 from tokenizers import Tokenizer
@@ -21,6 +22,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 
+_SPACE = "\u0120"  # fixed value: how a byte-level vocabulary writes the space byte
+_MARKS = ".,;:!?#*$%&|<>"  # marks that never share a pre-token with letters before them
+_JOINED = 2_000  # new chunks encoded as one text
 _REMEMBERED = 400_000  # pieces of each kind in a generation of which two are kept
 PRE_TOKEN = regex.compile(public_tokenizers.PATTERN)
 # A text may be cut at each single space, unless white space stands on both sides of one.
@@ -60,6 +64,9 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.of_pre_token = Remembered()
         self.of_chunk = Remembered()
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens whose first byte is a space
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
@@ -80,36 +87,45 @@ class Encoder:
         return self.of_pre_token.young
 
     def _learn_chunks(self, chunks: set[str]) -> None:
-        """Remember the ids of each chunk, as it is after a space."""
-        cut: dict[str, list[str]] = {}
+        """Remember the ids of each chunk, as it is after a space.
+
+        A word with marks behind it has the ids of the word and those of the marks. Other new chunks are encoded many
+        to a text, one space before each: a token that begins with the space begins a chunk. Those with white space
+        at an end could run into a neighbour's, so they are encoded by themselves.
+        """
+        young = self.of_chunk.young
+        words, marked, joined, alone = set(), [], [], []
         for c in self.of_chunk.unknown(chunks):
-            if c.isalpha():
-                cut[c] = [f" {c}"]
-            elif c[:-1].isalpha() and c[-1] in ".,":
-                cut[c] = [f" {c[:-1]}", c[-1]]
+            word = c.rstrip(_MARKS)
+            if word.isalpha():
+                words.add(word)
+                if word != c:
+                    marked.append((c, word, c[len(word):]))
             else:
-                cut[c] = PRE_TOKEN.findall(f" {c}")
-        known = self.learn({p for parts in cut.values() for p in parts})
-        self.of_chunk.young.update((c, b"".join([known[p] for p in parts])) for c, parts in cut.items())
+                (joined if c and c == c.strip() else alone).append(c)
+        joined += self.of_chunk.unknown(words)
+        young.update(zip(alone, self._whole([f" {c}" for c in alone])))
+        parts = [joined[i : i + _JOINED] for i in range(0, len(joined), _JOINED)]
+        texts = [" " + " ".join(part) for part in parts]
+        for part, raw in zip(parts, self._whole(texts)):
+            starts = (4 * np.flatnonzero(self.spaced[np.frombuffer(raw, np.uint32)])).tolist()
+            if len(starts) != len(part):
+                raise ValueError("the tokenizer joins words across a space")
+            young.update((c, raw[i:j]) for c, i, j in zip(part, starts, [*starts[1:], len(raw)]))
+        of_marks = self.learn({marks for _, _, marks in marked})
+        young.update((c, young[word] + of_marks[marks]) for c, word, marks in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        whole = [i for i, t in enumerate(texts) if _UNSAFE.search(t) or any(s in t for s in self.special)]
-        out = dict(zip(whole, self._whole([texts[i] for i in whole])))
+        whole = {i for i, t in enumerate(texts) if _UNSAFE.search(t) or any(s in t for s in self.special)}
+        cut = {i: t.split(" ") for i, t in enumerate(texts) if i not in whole}
         self.of_chunk.turn()
-        get = self.of_chunk.young.get
-        heads, found, missing = {}, {}, set()
-        for i, text in enumerate(texts):
-            if i not in out:
-                heads[i], *chunks = text.split(" ")  # the first one has no space before it
-                found[i] = chunks, (ids := list(map(get, chunks)))
-                if None in ids:
-                    missing.update(c for c, x in zip(chunks, ids) if x is None)
-        self._learn_chunks(missing)
-        cut = {i: PRE_TOKEN.findall(head) for i, head in heads.items()}
-        of_heads = self.learn({p for parts in cut.values() for p in parts})
-        for i, (chunks, ids) in found.items():
-            out[i] = b"".join([of_heads[p] for p in cut[i]] + (list(map(get, chunks)) if None in ids else ids))
+        heads = {i: chunks.pop(0) for i, chunks in cut.items()}  # no space before it
+        self._learn_chunks(set().union(*cut.values()) - self.of_chunk.young.keys())
+        get = self.of_chunk.young.__getitem__
+        out = dict(zip(whole, self._whole([texts[i] for i in whole])))
+        for i, head in zip(heads, self._whole(list(heads.values()))):
+            out[i] = head + b"".join(map(get, cut[i]))
         return [out[i] for i in range(len(texts))]
 
 

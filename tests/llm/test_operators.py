@@ -253,6 +253,18 @@ def test_encoder_equals_the_library():
         assert [np.frombuffer(x, np.uint32).tolist() for x in coder.encode(texts)] == expected
 
 
+def test_encoder_on_odd_joints():
+    """Marks behind words, white space at the ends of chunks, special tokens: one at a time and all at once."""
+    parts = ["a", "B", "\u00e9", "\n", "\t", " ", "  ", ".", "'s", "12", "#", "\u00a0", "\x85", "\u3000", "\u65e5\u672c",
+             "<|endoftext|>", "?!", "|>", "word", ".,", " the"]
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(4000)]
+    coder = Encoder(PATH)
+    expected = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, np.uint32).tolist() for x in coder.encode(texts)] == expected
+    assert [np.frombuffer(coder.encode([t])[0], np.uint32).tolist() for t in texts[:300]] == expected[:300]
+
+
 def test_token_pages(spark, docs, monkeypatch):
     path = scratch_path(spark, "pages")
     tf.write_token_pages(docs, path)
