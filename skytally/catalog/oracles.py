@@ -160,14 +160,19 @@ log AS (
   user_id || '.0.0.0:0' AS observer,
   CASE event_type WHEN 'signup' THEN 'failed' WHEN 'error' THEN 'removed' ELSE 'joined' END AS action
  FROM events WHERE event_type <> 'view'),
-per_member AS (
- SELECT member,
-  count(DISTINCT CASE WHEN action = 'joined' AND observer <> member THEN observer END) AS joined_by,
-  count(DISTINCT CASE WHEN action = 'removed' AND observer <> member THEN observer END) AS removed_by,
-  bool_or(action = 'failed') AS failed
- FROM log GROUP BY member),
+nodes AS (SELECT observer AS node FROM log UNION SELECT member FROM log WHERE action = 'joined'),
+dead AS (SELECT DISTINCT observer AS node FROM log WHERE action = 'failed'),
+survivors AS (SELECT node FROM nodes EXCEPT SELECT node FROM dead),
+per_member AS (SELECT DISTINCT member, member IN (SELECT node FROM dead) AS failed FROM log),
 with_peers AS (
- SELECT *, (SELECT count(DISTINCT observer) FROM log WHERE log.observer <> per_member.member) AS peers FROM per_member)"""
+ SELECT *, (SELECT count(*) FROM nodes WHERE node <> member) AS others,
+  (SELECT count(*) FROM survivors WHERE node <> member) AS peers,
+  (SELECT count(DISTINCT l.observer) FROM log l WHERE l.member = p.member AND l.action = 'joined'
+    AND l.observer <> l.member) AS joined_by,
+  (SELECT count(DISTINCT l.observer) FROM log l SEMI JOIN survivors s ON l.observer = s.node
+    WHERE l.member = p.member AND l.action = 'removed' AND l.observer <> l.member) AS removed_by,
+  (SELECT count(*) FROM log l WHERE l.member = p.member AND l.action = 'removed' AND l.observer <> l.member) AS removals
+ FROM per_member p)"""
 
 ALARMS = """
 SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts, event_type AS sensor, CAST(floor(value) AS INT) - 150 AS value
@@ -246,6 +251,8 @@ ORACLES: dict[str, str] = {
     "serving_select_topairports": SERVED_AIRPORTS,
     "load_whitespace_table": f"""WITH {FLIGHTS} SELECT CAST(flight_date AS VARCHAR) AS date1, origin AS origin1,
      dest AS destination1, CAST(arr_time AS VARCHAR) AS arr_time1, flight_id AS flight_id1 FROM flights""",
+    "load_table_last_write": """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(event_id AS VARCHAR) AS event_id
+     FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 2 DESC, event_id DESC) = 1""",
     "upsert_last_write": """SELECT user_id, event_type, event_id, value FROM events
      QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1""",
     "publish_lines": r"""SELECT line, count(*) AS n
@@ -346,6 +353,6 @@ ORACLES: dict[str, str] = {
     "ring_balance": f"""WITH {RING} SELECT s.node, count(key) FILTER (WHERE replica = 0) AS keys, count(key) AS copies
      FROM (SELECT DISTINCT node FROM spots) s LEFT JOIN placed p ON p.node = s.node AND replica < 3 GROUP BY s.node""",
     "heartbeat_status": f"WITH {HEARTBEATS} SELECT * FROM status",
-    "membership_audit": f"""WITH {MEMBERSHIP} SELECT member, joined_by, removed_by, failed, peers,
-     NOT failed OR removed_by >= peers AS complete, failed OR removed_by = 0 AS accurate FROM with_peers""",
+    "membership_audit": f"""WITH {MEMBERSHIP} SELECT member, joined_by, removed_by, failed, peers, joined_by >= others AS introduced,
+     NOT failed OR removed_by >= peers AS complete, failed OR removals = 0 AS accurate FROM with_peers""",
 }

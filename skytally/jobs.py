@@ -185,8 +185,7 @@ def random_forest(spark, args):
 def load_table(spark, args):
     """Result lines as an all-text table; the last row of a key (the first column) stays."""
     columns = sink.read_column_list(spark, args.columns)
-    table = sink.load_whitespace_table(spark, args.rows, columns)
-    return sink.latest_by_key(table.withColumn("_seq", F.monotonically_increasing_id()), columns[:1], "_seq").drop("_seq")
+    return sink.load_last_rows(spark, args.rows, columns)
 
 
 @job("manifest")

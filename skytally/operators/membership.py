@@ -57,30 +57,42 @@ def parse_membership_log(lines: DataFrame) -> DataFrame:
 
 
 def membership_audit(log: DataFrame) -> DataFrame:
-    """Per member: by how many other nodes its joining and removal were logged, whether it failed, and two verdicts.
+    """Per member: by how many other nodes its joining and removal were logged, whether it failed, and three verdicts.
 
+    Nodes are all observers and all members seen joining; those that did not fail survive. ``removed_by`` counts
+    surviving observers, ``peers`` the other survivors, silent ones too.
+    ``introduced``: every other node logged the joining. ``complete``: a failed member was removed by every surviving
+    peer. ``accurate``: only a failed member was removed, by whomever.
     The log is read once: what follows needs only the distinct pairs of nodes, which are kept.
-    ``complete``: a failed member was removed by every other observer. ``accurate``: only a failed member was removed.
     """
     pairs = durable(log.groupBy("member", "observer").agg(
         F.max((F.col("action") == "joined").cast("int")).alias("joined"),
         F.max((F.col("action") == "removed").cast("int")).alias("removed"),
         F.max((F.col("action") == "failed").cast("int")).alias("failed"),
     ))
+    dead = pairs.where("failed = 1").select(F.col("member").alias("node"), F.lit(0).alias("_alive")).distinct()
+    alive = F.coalesce("_alive", F.lit(1))
+    named = pairs.select(F.col("observer").alias("node")).union(pairs.where("joined = 1").select("member"))
+    nodes = named.distinct().join(dead, "node", "left").select("node", alive.alias("_alive"), F.lit(1).alias("_node"))
+    total = nodes.agg(F.count(F.lit(1))).scalar()
+    survivors = nodes.agg(F.coalesce(F.sum("_alive"), F.lit(0))).scalar()
+
     other = (F.col("observer") != F.col("member")).cast("int")
-    observers = pairs.select("observer").distinct()
-    members = pairs.groupBy("member").agg(
+    judged = pairs.join(dead.withColumnRenamed("node", "observer"), "observer", "left")
+    members = judged.groupBy(F.col("member").alias("node")).agg(
         F.sum(F.col("joined") * other).alias("joined_by"),
-        F.sum(F.col("removed") * other).alias("removed_by"),
+        F.sum(F.col("removed") * other * alive).alias("removed_by"),
+        F.max(F.col("removed") * other).alias("_removed"),
         (F.max("failed") == 1).alias("failed"),
     )
-    total = observers.agg(F.count(F.lit(1))).scalar()
-    seen = observers.select(F.col("observer").alias("member"), F.lit(1).alias("_self"))
-    audited = members.join(seen, "member", "left").select(
-        "member", "joined_by", "removed_by", "failed", (total - F.coalesce("_self", F.lit(0))).alias("peers")
+    audited = members.join(nodes, "node", "left").select(
+        F.col("node").alias("member"), "joined_by", "removed_by", "failed", "_removed",
+        (survivors - F.coalesce("_alive", F.lit(0))).alias("peers"),
+        (total - F.coalesce("_node", F.lit(0))).alias("_others"),
     )
     return audited.select(
-        "*",
+        "member", "joined_by", "removed_by", "failed", "peers",
+        (F.col("joined_by") >= F.col("_others")).alias("introduced"),
         (~F.col("failed") | (F.col("removed_by") >= F.col("peers"))).alias("complete"),
-        (F.col("failed") | (F.col("removed_by") == 0)).alias("accurate"),
+        (F.col("failed") | (F.col("_removed") == 0)).alias("accurate"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skytally.functions.text import COMMON_WORDS, SENTENCE_DELIMITERS, delimiter_class, format_top_words, normalize
+from skytally.functions.text import COMMON_WORDS, SENTENCE_DELIMITERS, delimiter_class, format_top_words
 from skytally.functions.text import tokenize_sentence
 from skytally.plans.joins import fits_broadcast
 from skytally.plans.ranking import top_k
@@ -20,9 +20,8 @@ def _words_between(lines: DataFrame, text: Column, pattern: str) -> DataFrame:
 
 
 def title_words(lines: DataFrame, delimiters: str) -> DataFrame:
-    """Lower-case words of the column ``value``, split by delimiter characters."""
-    words = _words_between(lines, F.lower("value"), delimiter_class(delimiters))
-    return words.select(F.trim("word").alias("word")).where(F.col("word") != "")
+    """Lower-case words of the column ``value``, split by delimiter characters; other white space stays in them."""
+    return _words_between(lines, F.lower("value"), delimiter_class(delimiters))
 
 
 def sentence_words(lines: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -42,15 +41,16 @@ def word_count(words: DataFrame) -> DataFrame:
 
 
 def count_without(words: DataFrame, stop_words: DataFrame) -> DataFrame:
-    """Word counts without the stop words.
+    """Word counts without the stop words: those that, trimmed, equal a line of the list as it stands.
 
     A short list is broadcast and drops words before they are counted. A long one is joined to the counts, where
     every word is one row, so that a frequent word never meets in one task.
     """
-    stops = stop_words.select(normalize(F.col("word")).alias("word")).distinct()
+    stops = stop_words.select(F.col("word").alias("stop")).distinct()
+    stopped = F.trim("word") == F.col("stop")
     if fits_broadcast(stops):
-        return word_count(words.join(F.broadcast(stops), "word", "left_anti"))
-    return word_count(words).join(stops, "word", "left_anti")
+        return word_count(words.join(F.broadcast(stops), stopped, "left_anti"))
+    return word_count(words).join(stops, stopped, "left_anti")
 
 
 def top_words(counts: DataFrame, n: int = 10) -> DataFrame:

@@ -19,7 +19,7 @@ def read_tsv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_serving_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a serving table. With ``partition_by``, each key's rows are written by one task per partition value."""
+    """Replace a serving table. With ``partition_by``, every task writes a file for each partition value that it holds."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -35,17 +35,30 @@ def write_results(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def parse_whitespace_rows(lines: DataFrame, columns: list[str]) -> DataFrame:
-    """Result lines split on white space, colons removed, as an all-text table with the given columns."""
+def parse_whitespace_rows(lines: DataFrame, columns: list[str], *kept: str) -> DataFrame:
+    """Result lines split on white space, colons removed, as an all-text table with the given columns (and ``kept``)."""
     fields = F.transform(split_whitespace(F.col("value")), lambda field: strip_character(field))
-    rows = lines.where(F.trim("value") != "").select(fields.alias("f"))
-    return rows.select(*[F.get("f", F.lit(i)).alias(field.name) for i, field in enumerate(all_text(columns))])
+    rows = lines.where(F.trim("value") != "").select(fields.alias("f"), *kept)
+    return rows.select(*[F.get("f", F.lit(i)).alias(field.name) for i, field in enumerate(all_text(columns))], *kept)
 
 
 def load_whitespace_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return parse_whitespace_rows(spark.read.text(path), columns)
 
 
+def load_last_rows(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
+    """The table of :func:`load_whitespace_table` with the last row of each key, which is the first column.
+
+    Files count in the order of their paths, rows in the order of their lines: by file, by place of the split in it,
+    and by place of the line in the split.
+    """
+    place = F.struct(
+        "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", place.alias("_place"))
+    rows = parse_whitespace_rows(lines, columns, "_place")
+    return latest_by_key(rows, columns[:1], "_place").drop("_place")
+
+
 def read_column_list(spark: SparkSession, path: str) -> list[str]:
     """Column names of a table, one per line, in file order. Such a file has one partition."""
     lines = spark.read.text(path, wholetext=True).selectExpr("explode(split(value, '\\n')) AS line").collect()

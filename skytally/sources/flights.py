@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skytally.functions.parse import present, to_date, to_int
-from skytally.schemas import CLEAN_COLUMNS, FLIGHT_COLUMNS, FLIGHT_INT_COLUMNS, FLIGHT_RAW
+from skytally.schemas import CLEAN_COLUMNS, FLIGHT_COLUMNS, FLIGHT_INT_COLUMNS, FLIGHT_RAW, all_text
 
 
 def _typed(column: str):
@@ -55,7 +58,17 @@ def read_flights_from_manifest(spark: SparkSession, manifest: str | list[str]) -
 def read_on_time_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """On-time performance files (with header), projected to the cleaned flight columns, all text.
 
-    One job reads all files; only the wanted columns are parsed.
+    Files may name their columns in different orders: those of equal headers are read together, by their own names.
+    The header of each file is the first row of its first split, so finding it reads no more than that; empty files
+    have none. Only the wanted columns are parsed.
     """
-    source = spark.read.option("header", True).option("inferSchema", False).csv(paths)
-    return source.select(*[F.col(name).alias(clean) for name, clean in CLEAN_COLUMNS.items()])
+    groups: dict[str, list[str]] = {}
+    for file in sorted(spark.read.text(paths).inputFiles()):  # the list of files, which their reader holds anyway
+        file = unquote(file)
+        for row in spark.read.text(file).where(F.trim("value") != "").head(1):
+            groups.setdefault(row.value, []).append(file)
+    if not groups:
+        return spark.createDataFrame([], all_text(list(CLEAN_COLUMNS.values())))
+    read = [spark.read.option("header", True).option("inferSchema", False).csv(files).select(
+        *[F.col(name).alias(clean) for name, clean in CLEAN_COLUMNS.items()]) for files in groups.values()]
+    return functools.reduce(DataFrame.unionByName, read)

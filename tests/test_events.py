@@ -106,7 +106,31 @@ def test_membership_log(lines):
         " 1.0.0.0:0 [126] Node 3.0.0.0:0 removed at time 126", " 2.0.0.0:0 [126] Node 3.0.0.0:0 removed at time 126",
         " 2.0.0.0:0 [130] Node 1.0.0.0:0 removed at time 130"))
     assert log.count() == 10
-    found = membership.membership_audit(log).drop("peers")
+    found = membership.membership_audit(log).drop("peers", "introduced")
     assert rows(found) == [
         ("1.0.0.0:0", 1, 1, False, True, False), ("2.0.0.0:0", 1, 0, False, True, True),
         ("3.0.0.0:0", 2, 2, True, True, True)]
+
+
+def audited(lines, *events):
+    log = membership.parse_membership_log(lines(*(
+        f" {o} [9] Node failed at time = 9" if a == "failed" else f" {o} [9] Node {m} {a} at time 9" for o, m, a in events)))
+    return {r.member: r for r in membership.membership_audit(log).collect()}
+
+
+def test_audit_of_several_failures(lines):
+    names = "abcd"
+    joined = [(o, m, "joined") for o in names for m in names if o != m]
+    failed = [("c", "c", "failed"), ("d", "d", "failed")]
+    gone = [(o, m, "removed") for o in "ab" for m in "cd"]
+    both = audited(lines, *joined, *failed, *gone)
+    assert all(r.introduced and r.complete and r.accurate for r in both.values())
+    assert (both["c"].peers, both["c"].removed_by, both["a"].peers) == (2, 2, 1)
+    # a silent survivor is missing, and a failed node does not stand in for it
+    silent = audited(lines, *joined, *failed, *(g for g in gone if g[0] == "a"), ("d", "c", "removed"))
+    assert not silent["c"].complete and silent["c"].removed_by == 1
+    # a node that only others saw joining counts as a peer
+    unheard = audited(lines, ("a", "b", "joined"), ("a", "z", "joined"), ("b", "b", "failed"), ("a", "b", "removed"))
+    assert not unheard["b"].complete and unheard["b"].peers == 2 and not unheard["b"].introduced
+    # who failed later may still have removed a live node
+    assert not audited(lines, *joined, *failed, ("d", "a", "removed"))["a"].accurate

@@ -1,6 +1,6 @@
 import datetime
 
-from skytally.schemas import RATINGS
+from skytally.schemas import CLEAN_COLUMNS, RATINGS
 from skytally.sinks import tables as sink
 from skytally.sources import flights, params, streams, text, wide
 from tests.conftest import rows
@@ -48,6 +48,27 @@ def test_on_time_files_are_projected_to_the_clean_columns(spark, tmp_path):
     assert (row.dep_time, row.flight_id) == (655, "77")
 
 
+def test_on_time_files_of_two_header_orders(spark, tmp_path):
+    names = ["Year", *CLEAN_COLUMNS]
+    turned = ["Dest", "Origin", *(n for n in names if n not in ("Dest", "Origin"))]
+    paths = [write(tmp_path / f"{i} raw.csv", ",".join(h) + "\n" + ",".join(f"{n}{i}" for n in h) + "\n")
+             for i, h in enumerate((names, turned, names))]
+    write(tmp_path / "none.csv", "")
+    expected = sorted(tuple(f"{n}{i}" for n in CLEAN_COLUMNS) for i in range(3))
+    assert rows(flights.read_on_time_files(spark, paths)) == expected
+    assert rows(flights.read_on_time_files(spark, str(tmp_path))) == expected
+    assert flights.read_on_time_files(spark, str(tmp_path / "none.csv")).columns == list(CLEAN_COLUMNS.values())
+
+
+def test_last_rows_follow_file_names_not_sizes(spark, tmp_path):
+    write(tmp_path / "1.txt", "a early:\nb 1\nb 2\n\n")
+    write(tmp_path / "2.txt", "a late\n" + "c x\n" * 5000 + "c y\n")
+    for _ in range(2):
+        assert rows(sink.load_last_rows(spark, str(tmp_path), ["k", "v"])) == [("a", "late"), ("b", "2"), ("c", "y")]
+    write(tmp_path / "0.txt", "a first\n" * 20000)
+    assert rows(sink.load_last_rows(spark, str(tmp_path), ["k", "v"])) == [("a", "late"), ("b", "2"), ("c", "y")]
+
+
 def test_parameter_files(spark, lines, tmp_path):
     assert rows(params.parse_key_list(lines("ATL", " ORD ", "", "ATL"))) == [("ATL",), ("ORD",)]
     assert rows(params.parse_pair_list(lines("BDL   PHL", " BHM BWI ", "ONE"))) == [("BDL", "PHL"), ("BHM", "BWI")]

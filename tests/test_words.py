@@ -25,10 +25,12 @@ def test_sentences(lines):
 
 def test_count_without_stop_words(spark, lines, monkeypatch):
     titles = lines("The cow, the MOON", "A cow; a hen", None)
-    stops = spark.createDataFrame([(" The ",), ("a",)], "word STRING")
+    stops = spark.createDataFrame([("the",), ("a",), ("Cow",), (" hen",)], "word STRING")  # the list counts as it stands
     expected = [("cow", 2), ("hen", 1), ("moon", 1)]
     counted = lambda: rows(words.count_without(words.title_words(titles, " ,;"), stops))
     assert counted() == expected
+    inner = words.count_without(words.title_words(lines("Cow, cow,a , the moon"), ","), stops)
+    assert rows(inner) == [(" cow", 1), (" the moon", 1), ("cow", 1)]
     monkeypatch.setattr("skytally.operators.words.fits_broadcast", lambda df: False)
     assert counted() == expected
 
