@@ -15,11 +15,13 @@ from skytally.plans.durable import durable
 
 MIN_WORDS = 50  # of the base rules
 COMMON_WORDS = 50
-GUARD_CHARS = 500  # shorter texts are not judged by character classes
-GUARD_WORDS = 200  # nor these by common words
+GUARD_CHARS = 2 * MIN_WORDS - 1  # shorter texts are not judged by character classes; 50 words have as many
+GUARD_WORDS = MIN_WORDS  # nor these by common words
 GUARD_REFERENCE = 10_000  # words that a language needs to have a reference
 MAX_CHAR_DISTANCE = 0.28
 MAX_WORD_DISTANCE = 0.4
+# Few words stray further from the usual shares: below so many words the bound grows, by up to this part of it.
+WIDER_BELOW, WIDER = 100, 0.1
 
 _FLUSH = 200_000
 _SYMBOLS = "#*$%&|<>"
@@ -100,6 +102,11 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, sum(parts) / 2)))
 
 
+def word_bound(bound: float, n_words: int) -> float:
+    """The bound of the word distance for a text of ``n_words``."""
+    return bound * (1 + WIDER * max(0, WIDER_BELOW - n_words) / WIDER_BELOW)
+
+
 def references(documents: DataFrame, common: int = COMMON_WORDS, guard: int = GUARD_REFERENCE) -> dict:
     """``{lang: (class histogram, {common word: position}, word histogram)}`` over all documents.
 
@@ -162,8 +169,9 @@ def quality_rules(
     A document is then compared with all documents of its ``lang``: the histogram of its character classes, if it has
     ``guard_chars`` characters, and that of the language's 50 most common words (and all others), if it has
     ``guard_words`` words, by Jensen-Shannon distance. It is kept if the base rules hold and neither distance exceeds
-    its bound. A distance that is not judged is null. Null languages are one language; a language of fewer than 10,000
-    words has no reference and judges nothing.
+    its bound; that of the words grows below 100 words, by a twentieth at 50. By default every text of 50 words is
+    judged by both. A distance that is not judged is null. Null languages are one language; a language of fewer than
+    10,000 words has no reference and judges nothing.
 
     Null or empty text: all counts 0, base_failed, not kept. Rows are judged one by one, so repeated rows and equal or
     null ids change nothing. Other columns are ignored. An empty table gives an empty table.
@@ -187,7 +195,8 @@ def quality_rules(
                     if len(words) >= guard_words:
                         at = [names.get(w.decode("utf-8", "surrogatepass"), len(names)) for w in _words(text.lower())]
                         of_words = distance(np.bincount(at, minlength=len(names) + 1), shares)
-                kept = not failed and (of_chars or 0) <= max_char_distance and (of_words or 0) <= max_word_distance
+                kept = not failed and (of_chars or 0) <= max_char_distance and (
+                    (of_words or 0) <= word_bound(max_word_distance, len(words)))
                 for column, value in zip(out, (
                         len(words), int(marks[0] + marks[2]), int(marks[2]), duplicate_lines(text), repeats, failed,
                         of_chars, of_words, kept)):

@@ -230,6 +230,22 @@ def test_rules(docs):
     assert distance(np.array([1, 0]), np.array([0, 3])) == 1 and distance(np.array([2, 2]), np.array([1, 1])) == 0
 
 
+def test_rules_judge_short_texts(spark):
+    r = random.Random(3)
+    usual = [f"{a}{b}" for a in "bdfgkl" for b in ("a", "en", "or", "is")]
+
+    def prose(n):
+        return " ".join(r.choices(usual, range(len(usual), 0, -1), k=n))
+
+    rows = [(i, prose(400), "en") for i in range(40)]
+    rows += [(100 + n, prose(n), "en") for n in (50, 60, 80, 110, 150, 199)]
+    rows += [(1000 + n, " ".join(f"x{r.randrange(10**4)}q" for _ in range(n)), "en") for n in (50, 60, 80, 110, 150, 199)]
+    rows += [(2000 + n, " ".join(f"{i}" for i in range(n)), "en") for n in (50, 99, 199)]  # 139 characters the shortest
+    found = {x.doc_id: x for x in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(x.kept == (d < 1000) for d, x in found.items())
+    assert all(x.char_distance is not None and x.word_distance is not None for x in found.values())
+
+
 def test_codec_round_trip():
     rng = np.random.default_rng(3)
     for _ in range(40):
