@@ -239,13 +239,52 @@ def _groups(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return connected_components(nodes, links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
-def jaccard_groups(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+def _candidates(shared: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    """The ``(a, b)`` of all sets that share a signature and may be linked.
+
+    Signatures held by the same sets give the same pairs, so one of them is joined: sets are told apart by their
+    number, ends and three sums of hashes.
+    """
+    told = [F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")]
+    told += [F.sum(F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(i)), 32)).alias(f"_h{i}") for i in range(3)]
+    holders = shared.groupBy("signature").agg(*told).where("_a < _b")
+    once = holders.groupBy("_n", "_a", "_b", "_h0", "_h1", "_h2").agg(F.min("signature").alias("signature"))
+    held = durable(shared.join(once.select("signature"), "signature").join(texts.drop("packed_text"), "doc_id"))
+    sides = [held.select("signature", F.col("doc_id").alias(s), *(
+        F.col(c).alias(f"{c}_{s}") for c in ("size", "sketch"))) for s in "ab"]
+    return sides[0].join(sides[1], "signature").where("a < b").where(_may_link(num, den)).select("a", "b").distinct()
+
+
+def _connected(shared: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """``(id, component)`` of the nodes, by as many links as connect them."""
+    pivots = durable(shared.groupBy("signature").agg(
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("_last")).where("a < _last").drop("_last"))
+    tested = durable(shared.join(pivots, "signature").select("a", F.col("doc_id").alias("b")).where("a < b").distinct())
+    links = durable(_linked(tested, texts, n, num, den))
+    groups = durable(_groups(nodes, links))
+
+    placed = durable(shared.join(groups.withColumnRenamed("id", "doc_id"), "doc_id"))
+    open_signatures = durable(placed.groupBy("signature").agg(
+        F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y").select("signature"))
+    left = durable(placed.join(open_signatures, "signature").join(texts.drop("packed_text"), "doc_id"))
+    sides = [left.select("signature", F.col("doc_id").alias(s), *(
+        F.col(c).alias(f"{c}_{s}") for c in ("component", "size", "sketch"))) for s in "ab"]
+    rest = (
+        sides[0].join(sides[1], "signature").where("a < b AND component_a <> component_b").where(_may_link(num, den))
+        .select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
+    more = durable(_linked(durable(rest), texts, n, num, den))
+    return groups if more.isEmpty() else _groups(nodes, links.unionByName(more))
+
+
+def jaccard_groups(
+    documents: DataFrame, n: int = 5, num: int = 4, den: int = 5, count_links: bool = True) -> DataFrame:
     """``(doc_id, n_shingles, component_id, n_links)``: groups connected by ``|A and B| * den >= num * |A or B|``.
 
     A set holds the distinct ``n``-word shingles of a whole text (A-Z lower-cased, words without ASCII white space);
     shorter texts are one shingle, texts without a word have none and link with nothing. ``component_id`` is the
-    smallest id in the group; ``n_links`` counts the verified links of the document's distinct set, which suffice to
-    connect its group.
+    smallest id in the group; ``n_links`` counts all other distinct sets that the document's set is linked with. Sets of
+    one id are one node. Without ``count_links`` the column is left out and only the links that connect the groups are
+    looked for.
 
     1. Documents with equal sets are one set from here on.
     2. Each size band cuts the universe of hashes into segments; the hash of a set's part in a segment is a signature
@@ -254,9 +293,10 @@ def jaccard_groups(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     3. Signatures are counted over the corpus and each set keeps its H + 1 rarest (one common order, so that the rarest
        equal segment of a linked pair is kept by both). Frequent passages, empty segments and the unchanged parts of
        large groups of copies are thereby left out without losing a link.
-    4. The sets that share a kept signature are compared with the smallest of them. Those of different groups that
-       still share a signature are then compared with each other. Sketches of 1,024 bits, whose distance never exceeds
-       that of the sets, turn most of these pairs away inside the join; the others are compared exactly, on their texts.
+    4. All sets that share a kept signature are compared with each other; of signatures that the same sets keep one
+       does. Sketches of 1,024 bits, whose distance never exceeds that of the sets, turn most of these pairs away inside
+       the join; the others are compared exactly, on their texts. Without ``count_links`` they are first compared with
+       the smallest of them, and then only those of different groups with each other.
 
     Null ids: the row keeps its shingle count, has no component and links with nothing. Rows with one id are one node.
     Other columns are ignored; an empty table gives an empty table.
@@ -270,33 +310,21 @@ def jaccard_groups(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5)
     texts = kept.where("packed_text IS NOT NULL").select("doc_id", *_FACTS)
     shared = kept.select("doc_id", "signature")
 
-    pivots = durable(shared.groupBy("signature").agg(
-        F.min("doc_id").alias("a"), F.max("doc_id").alias("_last")).where("a < _last").drop("_last"))
-    tested = durable(shared.join(pivots, "signature").select("a", F.col("doc_id").alias("b")).where("a < b").distinct())
-    links = durable(_linked(tested, texts, n, num, den))
     nodes = durable(shared.select(F.col("doc_id").alias("id")).distinct())
-    groups = durable(_groups(nodes, links))
-
-    placed = durable(shared.join(groups.withColumnRenamed("id", "doc_id"), "doc_id"))
-    open_signatures = durable(placed.groupBy("signature").agg(
-        F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y").select("signature"))
-    left = durable(placed.join(open_signatures, "signature").join(texts.drop("packed_text"), "doc_id"))
-    sides = [left.select("signature", F.col("doc_id").alias(s), *(
-        F.col(c).alias(f"{c}_{s}") for c in ("component", "size", "sketch"))) for s in "ab"]
-    rest = (
-        sides[0].join(sides[1], "signature").where("a < b AND component_a <> component_b").where(_may_link(num, den))
-        .select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
-    more = durable(_linked(durable(rest), texts, n, num, den))
-    every = links.unionByName(more)
-    merged = groups if more.isEmpty() else _groups(nodes, every)
-
-    degree = every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("_d"))
-    of_set = durable(
-        first.join(merged.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left")
-        .select("set_key", F.coalesce("component", "rep").alias("_c"), F.coalesce("_d", F.lit(0)).alias("n_links")))
+    if count_links:
+        every = durable(_linked(durable(_candidates(shared, texts, num, den)), texts, n, num, den).distinct())
+        merged = _groups(nodes, every)
+    else:
+        every, merged = None, _connected(shared, texts, nodes, n, num, den)
+
+    of_set = first.join(merged.withColumnRenamed("id", "rep"), "rep", "left")
+    if every is not None:
+        of_set = of_set.join(every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(
+            F.count(F.lit(1)).alias("n_links")), "rep", "left")
+    of_set = durable(of_set.withColumn("_c", F.coalesce("component", "rep")).drop("rep", "component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id")).alias("component_id")
-    return sets.join(of_set, "set_key", "left").select(
-        "doc_id", "n_shingles", component, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    counted = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if count_links else []
+    return sets.join(of_set, "set_key", "left").select("doc_id", "n_shingles", component, *counted)
 
 
 def one_of_each_group(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -304,6 +332,6 @@ def one_of_each_group(documents: DataFrame, n: int = 5, num: int = 4, den: int =
 
     Of rows that share such an id one stays; rows without an id stay, as do texts without a word.
     """
-    first = jaccard_groups(documents, n, num, den).where("component_id = doc_id").select("doc_id").distinct()
+    first = jaccard_groups(documents, n, num, den, count_links=False).where("component_id = doc_id").select("doc_id").distinct()
     named = documents.join(durable(first), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*documents.columns).unionByName(documents.where("doc_id IS NULL"))

@@ -96,6 +96,20 @@ def test_groups_equal_all_pairs(docs, n, num, den):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(expected.values()))
 
 
+def test_every_link_is_counted(spark, docs):
+    rows = [(r[0], r[1]) for r in fixture_rows() if r[0] is not None]
+    alike = [(i, " ".join(f"u{k}" for k in range(100) if k != 20 * i)) for i in range(4)]  # each linked with each
+    for given, table in ((rows, docs), (alike, spark.createDataFrame(alike, "doc_id long, text string"))):
+        sets = {d: plain_shingles(t, 4) for d, t in given}
+        linked = {d: {t for t in sets.values() if s and t and s != t and 100 * len(s & t) >= 85 * len(s | t)}
+                  for d, s in sets.items()}
+        found = jaccard_groups(table, 4, 85, 100).where("doc_id IS NOT NULL").collect()
+        assert {r.doc_id: r.n_links for r in found} == {d: len(x) for d, x in linked.items()}
+        assert max(r.n_links for r in found) > 2
+        plain = jaccard_groups(table, 4, 85, 100, count_links=False).collect()
+        assert {(r.doc_id, r.component_id) for r in plain if r.doc_id is not None} == {(r.doc_id, r.component_id) for r in found}
+
+
 def test_bands_cover_every_linked_pair_and_sketches_never_exceed():
     bands = Bands(85, 100)
     for s in range(1, 400):
