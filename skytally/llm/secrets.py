@@ -15,8 +15,8 @@ _HEX = r"[0-9a-f]{24,}"  # runs are maximal, so shorter ones need not be matched
 _LEAST_ASSIGN, _LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex")
 
-# A value that this many owners hold is a widely copied example.
-COPIED_OWNERS = 3
+# A value that so many owners or so many repositories hold is a widely copied example.
+COPIED_OWNERS, COPIED_REPOSITORIES = 3, 10
 # Shorter values, and values of fewer different characters, are too plain for a credential.
 LIVE_CHARS, LIVE_DISTINCT = 16, 8
 
@@ -87,26 +87,28 @@ def scan_secrets(
     repository: Column | None = None,
     owner: Column | None = None,
     copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
 ) -> DataFrame:
     """Secret spans of each text, with the values that look live: strong and not copied among owners.
 
     Base spans are the leftmost non-overlapping matches of each kind (assign, access, hex) with the asked-for lengths,
     in code points, end exclusive. The SHA-256 of every candidate value is counted over the corpus by distinct
-    repositories and distinct owners: a value that ``copied_owners`` owners hold is a copied example, a strong value
-    of fewer owners is owner-specific and looks live, and adds a span ``live`` over the value. A value under several
+    repositories and distinct owners: a value that ``copied_owners`` owners or ``copied_repositories`` repositories hold
+    is a copied example, a strong value of fewer is owner-specific and looks live, and adds a span ``live`` over the
+    value. A value under several
     kinds counts as one. (hash, repository, owner) are made distinct before they are counted, so a value in a third
     of all texts is a few rows.
 
     Returns doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, and secrets: the spans as structs
-    with the value's repositories, owners and class. ``repository`` and ``owner`` default to ``source``; null ones are
-    one repository and one owner.
+    with the value's repositories, owners and class. ``repository`` defaults to the distinct text, so that exact copies of a
+    document are one, and ``owner`` to ``source``; null ones are one repository and one owner.
 
     Null text: no spans. Rows with equal ids and rows that repeat are scanned one by one and get one row each. Other
     columns are ignored. An empty table gives an empty table.
     """
     source = F.col("source") if "source" in documents.columns else F.lit(None).cast("string")
     found = durable(secret_spans(
-        documents, source if repository is None else repository, source if owner is None else owner,
+        documents, F.xxhash64("text").cast("string") if repository is None else repository, source if owner is None else owner,
     ).withColumn("row", F.monotonically_increasing_id()))
     candidates = durable(found.where(F.size("spans") > 0).select(
         "row", "repository", "owner", F.posexplode("spans").alias("at", "span")))
@@ -120,7 +122,7 @@ def scan_secrets(
     rated = candidates.withColumn("value_hash", F.col("span.value_hash")).join(spread, "value_hash").select(
         "row", F.struct(
             "span.start", "span.end", "span.kind", "span.value_start", "repositories", "owners",
-            F.when(F.col("owners") >= copied_owners, "copied").when(F.col("span.strong"), "live").otherwise("weak")
+            F.when((F.col("owners") >= copied_owners) | (F.col("repositories") >= copied_repositories), "copied").when(F.col("span.strong"), "live").otherwise("weak")
             .alias("class")).alias("secret"))
     by_row = durable(rated.groupBy("row").agg(F.collect_list("secret").alias("secrets")))  # of one text
     rows = found.join(by_row, "row", "left").withColumn(

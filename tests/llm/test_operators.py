@@ -165,6 +165,16 @@ def test_secrets_by_owner(spark):
     assert found[10].n_live == 0
 
 
+def test_secrets_copied_within_one_owner(spark):
+    example, own = "token = Zx81kQpLm27RtYv0", "token = Qw93mNbVc48HgTy5"
+    rows = [(i, f"{example} {i}", "o") for i in range(12)] + [(20 + i, own, "o") for i in range(12)]  # many texts; one text
+    rows += [(40 + i, f"secret = Jd64sFgKx19PzWb2 {i}", "o") for i in range(9)]
+    found = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all((found[i].n_live, found[i].n_copied, found[i].secrets[0].repositories) == (0, 1, 12) for i in range(12))
+    assert all((found[i].n_live, found[i].n_copied, found[i].secrets[0].repositories) == (1, 0, 1) for i in range(20, 32))
+    assert all((found[i].n_live, found[i].secrets[0].repositories) == (1, 9) for i in range(40, 49))
+
+
 def plain_contamination(rows, items):
     pattern = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     windows = defaultdict(set)
