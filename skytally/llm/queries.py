@@ -51,7 +51,7 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_groups(table(spark, folder, "documents"), n=4, num=85, den=100)
+    return jaccard_groups(table(spark, folder, "documents"), n=4, num=85, den=100, count_links=False)
 
 
 def document_edits() -> Column:
