@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from skytally.llm.byte_dedup import remove_repeated_bytes
 from skytally.llm.decontam import contaminated_words
 from skytally.llm.mixing import mix_sources, mixing_sql
 from skytally.llm.near import jaccard_groups
@@ -94,8 +95,13 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, folder, "documents")).drop("removed")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_secret_scan, op3_token_files, op4_quality_classifier, op5_ngram_jaccard_join,
-    op6_edited_token_counts, op7_substring_dedup, op8_benchmark_decontamination, op9_mix_sources, op10_quality_rules)}
+    op6_edited_token_counts, op7_substring_dedup, op8_benchmark_decontamination, op9_mix_sources, op10_quality_rules,
+    op11_suffix_array_dedup)}
 
 ORACLES: dict[str, str] = {"op9_mix_sources": mixing_sql()}
