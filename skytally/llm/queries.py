@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skytally.llm.byte_dedup import remove_repeated_bytes
+from skytally.llm.collocations import collocations, collocations_sql
 from skytally.llm.decontam import contaminated_words
 from skytally.llm.mixing import mix_sources, mixing_sql
 from skytally.llm.near import jaccard_groups
 from skytally.llm.quality import score_quality, train_quality
+from skytally.llm.resampling import resample, resampling_sql
 from skytally.llm.rules import quality_rules
 from skytally.llm.secrets import scan_secrets
 from skytally.llm.substrings import remove_repeated_windows
@@ -99,9 +101,21 @@ def op11_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, folder, "documents")).drop("removed")
 
 
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_secret_scan, op3_token_files, op4_quality_classifier, op5_ngram_jaccard_join,
     op6_edited_token_counts, op7_substring_dedup, op8_benchmark_decontamination, op9_mix_sources, op10_quality_rules,
-    op11_suffix_array_dedup)}
+    op11_suffix_array_dedup, op12_importance_resampling, op13_phrase_collocations)}
 
-ORACLES: dict[str, str] = {"op9_mix_sources": mixing_sql()}
+ORACLES: dict[str, str] = {
+    "op9_mix_sources": mixing_sql(),
+    "op12_importance_resampling": resampling_sql(),
+    "op13_phrase_collocations": collocations_sql(),
+}
