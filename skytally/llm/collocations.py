@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from skytally.llm.packing import mix, pack_numbers, pack_sorted, unpack_numbers, unpack_sorted
 from skytally.llm.suffixes import lengths_of, run_starts
 from skytally.plans.durable import durable
 from skytally.plans.ranking import top_k_per_group
@@ -32,8 +33,14 @@ _ID_BITS = 21  # of a word id, three of which fit in 64 bits; ids start anew whe
 _FOLD = bytes(b + 32 if 65 <= b < 91 else 10 if b in b".,;:!?\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 _BREAK = b"\n"
 
+_PAIR_SHIFT = 24  # pairs are told apart by 40 bits of their hash, to find those that may be frequent
+_SLICE_BYTES = 4 << 30  # text per slice of a prefix partition
+
 _RUNS = "lang string, phrase binary, n long"
 _RUN_SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64())])
+_PACKED_RUNS = "lang string, prefix long, slice long, keys binary, known binary, at binary"
+_PACKED_SCHEMA = pa.schema([("lang", pa.string()), ("prefix", pa.int64()), ("slice", pa.int64()), ("keys", pa.binary()),
+                            ("known", pa.binary()), ("at", pa.binary())])
 
 
 class _Container(dict):
@@ -73,7 +80,7 @@ class _Node:
 class PhraseTrie:
     """Counts of phrases of ``words`` word ids: a shallow trie over the leading ids with hash containers below.
 
-    The root has ``PREFIXES`` subtrees by first word id, each a hash container until it bursts into one for each first
+    The root has ``PREFIXES`` subtrees by the hash of the first word, each a hash container until it bursts into one for each first
     word, and so on. When more than ``SPILL`` phrases are held, the largest subtree leaves as a run.
     """
 
@@ -82,10 +89,11 @@ class PhraseTrie:
         self.subtrees: list[_Container | _Node] = [_Container() for _ in range(PREFIXES)]
         self.sizes = [0] * PREFIXES
 
-    def add(self, keys: list[int], counts: list[int]) -> None:
+    def add(self, keys: list[int], counts: list[int], prefixes: list[int]) -> None:
+        """``prefixes`` has the subtree of each word id."""
         top = _ID_BITS * (self.words - 1)
         for key, n in zip(keys, counts):
-            p = (key >> top) % PREFIXES
+            p = prefixes[key >> top]
             tree = self.subtrees[p]
             if isinstance(tree, _Node):
                 self.sizes[p] += tree.add(key, n)
@@ -97,9 +105,8 @@ class PhraseTrie:
                 if self.sizes[p] > BURST and self.words > 1:
                     self.subtrees[p] = _Node(tree, self.words - 1)
 
-    def largest(self) -> dict[int, int]:
-        """Take the largest subtree out."""
-        return self.take(max(range(PREFIXES), key=self.sizes.__getitem__))
+    def largest(self) -> int:
+        return max(range(PREFIXES), key=self.sizes.__getitem__)
 
     def take(self, p: int) -> dict[int, int]:
         tree, self.subtrees[p], self.sizes[p] = self.subtrees[p], _Container(), 0
@@ -112,14 +119,24 @@ class PhraseTrie:
 class _Counter:
     """The phrases of one language in one task, by number of words, and the runs they leave as."""
 
-    def __init__(self, lang: str, words: tuple[int, ...]):
-        self.lang = lang
+    def __init__(self, lang: str, words: tuple[int, ...], slices: int = 0):
+        """With ``slices``, runs are packed hashes of pairs in so many slices; without, they are phrases."""
+        self.lang, self.slices = lang, slices
+        self.seed = xxhash.xxh64_intdigest(lang.encode(), 42)
         self.tries = {w: PhraseTrie(w) for w in words}
+        self.forget()
+
+    def forget(self) -> None:
         self.ids: dict[bytes, int] = {}
         self.names: list[bytes] = []
-
-    def run(self, w: int, held: dict[int, int]) -> pa.RecordBatch:
-        """A subtree as a run sorted by phrase."""
+        self.hashes: list[int] = []
+        self.prefixes: list[int] = []
+
+    def run(self, w: int, p: int) -> pa.RecordBatch:
+        """Take a subtree out, as a run sorted by phrase or by hash."""
+        held = self.tries[w].take(p)
+        if self.slices:
+            return self._packed_run(p, held)
         mask, shifts = (1 << _ID_BITS) - 1, [_ID_BITS * i for i in range(w - 1, -1, -1)]
         names = self.names
         rows = sorted((b" ".join([names[key >> s & mask] for s in shifts]), n) for key, n in held.items())
@@ -127,20 +144,39 @@ class _Counter:
             [pa.array([self.lang] * len(rows), pa.string()), pa.array([p for p, _ in rows], pa.binary()),
              pa.array([n for _, n in rows], pa.int64())], schema=_RUN_SCHEMA)
 
+    def _packed_run(self, p: int, held: dict[int, int]) -> pa.RecordBatch:
+        pairs = np.fromiter(held, np.int64, len(held))
+        counts = np.fromiter(held.values(), np.int64, len(held))
+        hashes = np.array(self.hashes, np.uint64)
+        keys = pair_keys(hashes[pairs >> _ID_BITS], hashes[pairs & ((1 << _ID_BITS) - 1)])
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        slices = (keys * np.uint64(self.slices)) >> np.uint64(64 - _PAIR_SHIFT)
+        starts = run_starts(slices)
+        columns: list[list] = [[], [], [], [], [], []]
+        for a, n in zip(starts.tolist(), lengths_of(starts, len(keys)).tolist()):
+            row = (self.lang, p, int(slices[a]), pack_sorted(keys[a : a + n]), *pack_numbers(counts[a : a + n]))
+            for column, value in zip(columns, row):
+                column.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PACKED_SCHEMA)], schema=_PACKED_SCHEMA)
+
     def flush(self) -> Iterator[pa.RecordBatch]:
         for w, trie in self.tries.items():
             for p in range(PREFIXES):
                 if trie.sizes[p]:
-                    yield self.run(w, trie.take(p))
+                    yield self.run(w, p)
 
     def known(self, words: list[bytes]) -> np.ndarray:
         """Ids of the words; the caller has flushed before they run out."""
-        ids, names, out = self.ids, self.names, []
+        ids, out = self.ids, []
         for word in words:
             i = ids.get(word)
             if i is None:
-                i = ids[word] = len(names)
-                names.append(word)
+                i = ids[word] = len(self.names)
+                self.names.append(word)
+                h = xxhash.xxh64_intdigest(word, self.seed)
+                self.hashes.append(h)
+                self.prefixes.append(h % PREFIXES)
             out.append(i)
         return np.array(out, np.int64)
 
@@ -152,32 +188,29 @@ class _Counter:
             words, at = some.dictionary.to_pylist(), some.indices.to_numpy()
             if len(self.names) + len(words) > 1 << _ID_BITS:
                 yield from self.flush()
-                self.ids, self.names = {}, []
+                self.forget()
             good = np.array([word != _BREAK for word in words])
             if 1 in self.tries:  # all words of the language go under the empty phrase
                 total = int(good[at[:_CHUNK_WORDS]].sum())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([self.lang]), pa.array([b""], pa.binary()), pa.array([total], pa.int64())], schema=_RUN_SCHEMA)
+            of_word = self.known(words)
+            hashes = np.array(self.hashes, np.uint64)[of_word] if bits else None
             if bits:
-                good &= may_be_frequent(self.lang, words, bits[0])
+                good &= _set(bits[0], hashes)
             ok = good[at]
-            paired = self._frequent_pairs(at, words, ok, bits[1]) if len(bits) > 1 else ok
-            ids = self.known(words)[at]
+            paired = ok
+            if len(bits) > 1:
+                paired = np.zeros(len(at), bool)
+                begins = np.flatnonzero(ok[:-1] & ok[1:])
+                paired[begins] = _set(bits[1], pair_keys(hashes[at[begins]], hashes[at[begins + 1]]))
+            ids = of_word[at]
             for w, trie in self.tries.items():
-                trie.add(*_phrases(w, ids, ok, paired))
+                trie.add(*_phrases(w, ids, ok, paired), self.prefixes)
             while sum(map(len, self.tries.values())) > SPILL:
                 w = max(self.tries, key=lambda w: len(self.tries[w]))
                 yield self.run(w, self.tries[w].largest())
 
-    def _frequent_pairs(self, at: np.ndarray, words: list[bytes], ok: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        """Whether the pair that begins at each word may be frequent."""
-        out = np.zeros(len(at), bool)
-        begins = np.flatnonzero(ok[:-1] & ok[1:])
-        pairs, back = np.unique(at[begins].astype(np.int64) << 32 | at[begins + 1], return_inverse=True)
-        texts = [words[p >> 32] + b" " + words[p & 0xFFFFFFFF] for p in pairs.tolist()]
-        out[begins] = may_be_frequent(self.lang, texts, bits)[back]
-        return out
-
 
 def _phrases(w: int, ids: np.ndarray, ok: np.ndarray, paired: np.ndarray) -> tuple[list[int], list[int]]:
     """Packed ids and counts of the distinct ``w``-word phrases whose words are ``ok`` and whose pairs are ``paired``.
@@ -208,27 +241,44 @@ def _phrases(w: int, ids: np.ndarray, ok: np.ndarray, paired: np.ndarray) -> tup
             lengths_of(new, len(lead)).tolist())
 
 
-def may_be_frequent(lang: str, phrases: list[bytes], bits: np.ndarray) -> np.ndarray:
-    """Whether the bitmap holds the phrases: true for every frequent one, and by chance for others."""
-    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in phrases), np.uint64, len(phrases))
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """40 bits for each pair of words, from the hashes of the words."""
+    return mix(first * np.uint64(0x9E3779B97F4A7C15) + second) >> np.uint64(_PAIR_SHIFT)
+
+
+def _set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bits of the hashes are set: true for everything frequent, and by chance for others."""
     spot = (hashes % np.uint64(len(bits) * 8)).astype(np.int64)
     return (bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def frequent_bitmap(frequent: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
-    """One bit for the hash of each frequent phrase; ``size`` bits in all, whatever the corpus."""
-    spot = F.pmod(F.xxhash64("lang", "phrase"), F.lit(size))
-    piece = F.expr(f"CAST(_spot DIV {_BUCKET_BITS} AS INT)")
-    rows = frequent.select(spot.alias("_spot")).select(piece.alias("_piece"), F.expr(f"_spot % {_BUCKET_BITS}").alias("_bit"))
+def _bitmap(hashes: DataFrame, size: int) -> np.ndarray:
+    """The bits of the given hashes (column ``h``); ``size`` bits in all, whatever the corpus."""
+    spots = hashes.select(F.pmod("h", F.lit(size)).alias("_spot"))
+    rows = spots.select(F.expr(f"CAST(_spot DIV {_BUCKET_BITS} AS INT)").alias("_piece"), F.expr(f"_spot % {_BUCKET_BITS}").alias("_bit"))
     bits = np.zeros(size // 8, np.uint8)
     for at, part in rows.groupBy("_piece").agg(F.bitmap_construct_agg("_bit")).collect():
         bits[at * _BUCKET_BITS // 8 : (at + 1) * _BUCKET_BITS // 8] = np.frombuffer(part, np.uint8)[: size // 8]
     return bits
 
 
-def _counted(documents: DataFrame, words: tuple[int, ...], min_count: int, *bits: np.ndarray) -> DataFrame:
-    """``(lang, phrase, n)`` of the phrases of so many words that are frequent (and the empty phrase, with words = 1)."""
+def _frequent_keys(runs: DataFrame, min_count: int) -> DataFrame:
+    """Merge the sorted runs of each prefix partition; the keys whose counts add up to ``min_count``."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        keys = np.concatenate([unpack_sorted(x) for x in table["keys"].to_pylist()])
+        counts = np.concatenate([unpack_numbers(*x) for x in zip(table["known"].to_pylist(), table["at"].to_pylist())])
+        order = np.argsort(keys, kind="stable")  # merges what is sorted in parts
+        keys, counts = keys[order], counts[order]
+        starts = run_starts(keys)
+        frequent = np.add.reduceat(counts, starts) >= min_count
+        return pa.table([pa.array(keys[starts[frequent]].astype(np.int64))], names=["h"])
+
+    return runs.groupBy("lang", "prefix", "slice").applyInArrow(merge, "h long")
+
+
+def _runs(documents: DataFrame, words: tuple[int, ...], slices: int, *bits: np.ndarray) -> DataFrame:
+    """The runs of all tasks: phrases of so many words, or with ``slices`` packed hashes of pairs."""
     shared = documents.sparkSession.sparkContext.broadcast(bits)  # bitmaps of fixed size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,11 +290,11 @@ def _counted(documents: DataFrame, words: tuple[int, ...], min_count: int, *bits
                 waiting.setdefault(lang, []).append(text)
                 held[lang] = held.get(lang, 0) + len(text)
                 if held[lang] >= _CHUNK_BYTES:
-                    counter = counters.setdefault(lang, _Counter(lang, words))
+                    counter = counters.setdefault(lang, _Counter(lang, words, slices))
                     yield from counter.count(waiting.pop(lang), shared.value)
                     del held[lang]
             for lang, texts in waiting.items():
-                counter = counters.setdefault(lang, _Counter(lang, words))
+                counter = counters.setdefault(lang, _Counter(lang, words, slices))
                 yield from counter.count(texts, shared.value)
             # Languages share the memory of a task.
             while sum(sum(map(len, c.tries.values())) for c in counters.values()) > SPILL:
@@ -255,8 +305,12 @@ def _counted(documents: DataFrame, words: tuple[int, ...], min_count: int, *bits
 
     texts = documents.select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    runs = texts.mapInArrow(count, _RUNS)
-    merged = runs.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, _PACKED_RUNS if slices else _RUNS)
+
+
+def _counted(documents: DataFrame, words: tuple[int, ...], min_count: int, *bits: np.ndarray) -> DataFrame:
+    """``(lang, phrase, n)`` of the phrases of so many words that are frequent (and the empty phrase, with words = 1)."""
+    merged = _runs(documents, words, 0, *bits).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return durable(merged.where((F.col("n") >= min_count) | (F.octet_length("phrase") == 0)).select(
         "lang", F.col("phrase").cast("string").alias("phrase"), "n"))
 
@@ -272,11 +326,11 @@ def collocations(
     first k words, with l and r the frequencies of both parts, it scores floor(2000000 a / (l + r)); its lowest cut
     counts, ties to the smallest k. Candidates inside a longer one that makes up ``covered_percent`` of them are dropped.
 
-    1. Every task counts phrases in a burst trie over word ids (:class:`PhraseTrie`) and emits subtrees as runs sorted
-       by phrase; Spark merges them by phrase, so a frequent first word is spread like all others. Words are counted
-       first, then pairs of frequent words, then longer phrases whose pairs are all frequent: nothing else can reach
-       ``min_count``. What is frequent is told to the tasks by a bitmap of ``filter_bits`` bits, whose false positives
-       are counted and found out.
+    1. Every task counts phrases in a burst trie over word ids (:class:`PhraseTrie`); what leaves memory does so by whole
+       subtrees, as sorted runs. Words are counted first. Then pairs of frequent words: their runs are packed hashes,
+       merged per prefix partition, and tell which pairs may be frequent. Then pairs and longer phrases whose pairs may
+       all be frequent, as no phrase is more frequent than its parts; Spark merges these runs by phrase. The tasks are
+       told what is frequent by bitmaps of ``filter_bits`` bits; false positives are counted and found out.
     2. Cuts, parts and longer phrases are joins of the frequent phrases among themselves; scores are decimals.
 
     Null text: empty. Null lang: ``und``, one language with rows that say so. Repeated rows count each. Ties of score: larger
@@ -287,12 +341,11 @@ def collocations(
     words = _counted(documents, (1,), min_count)
     totals = words.where("phrase = ''").select("lang", F.col("n").alias("_total"))
     words = words.where("phrase <> ''")
-    word_bits = frequent_bitmap(words, filter_bits)
-    pairs = _counted(documents, (2,), min_count, word_bits)
-    grams = words.unionByName(pairs)
-    if max_words > 2:
-        longer = _counted(documents, tuple(range(3, max_words + 1)), min_count, word_bits, frequent_bitmap(pairs, filter_bits))
-        grams = grams.unionByName(longer)
+    word_bits = _bitmap(words.select(F.xxhash64("lang", "phrase").alias("h")), filter_bits)
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    runs = _runs(documents, (2,), 1 + size // _SLICE_BYTES, word_bits)
+    pair_bits = _bitmap(_frequent_keys(runs, min_count), filter_bits)
+    grams = words.unionByName(_counted(documents, tuple(range(2, max_words + 1)), min_count, word_bits, pair_bits))
 
     split = F.split("phrase", " ")
     sized = grams.select("lang", "phrase", F.col("n").alias("a"), F.size(split).alias("_words"), split.alias("_w"))

@@ -82,7 +82,7 @@ def plain_collocations(rows, min_count):
 @pytest.mark.parametrize("small", [False, True])
 def test_collocations(spark, monkeypatch, small):
     if small:  # bursts, spills, new word ids and chunks all happen
-        for name, value in (("BURST", 5), ("SPILL", 40), ("_CHUNK_WORDS", 50), ("_CHUNK_BYTES", 300)):
+        for name, value in (("BURST", 5), ("SPILL", 40), ("_CHUNK_WORDS", 50), ("_CHUNK_BYTES", 300), ("_SLICE_BYTES", 9000)):
             monkeypatch.setattr(cl, name, value)
     r = random.Random(4)
     usual = ["The", "of", "é", "new", "york", "city", "Hall", "a-b", "$x", "the"]
@@ -106,10 +106,10 @@ def test_trie_counts_through_bursts_and_spills(monkeypatch):
         key = 0
         for _ in range(4):
             key = key << cl._ID_BITS | r.randrange(3)
-        trie.add([key], [2])
+        trie.add([key], [2], [5, 6, 6])
         expected[key] += 2
         if r.random() < 0.02:
-            out.update(trie.largest())
+            out.update(trie.take(trie.largest()))
     for p in range(cl.PREFIXES):
         out.update(trie.take(p))
     assert out == expected and len(trie) == 0
