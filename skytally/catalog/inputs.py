@@ -162,10 +162,10 @@ def sensor_lines(events: DataFrame) -> DataFrame:
     return events.select(F.concat_ws(" ", ts, "event_type", value, F.lit("")).alias("value"))
 
 
-def change_log(tables: Tables) -> DataFrame:
+def change_log(tables: Tables, events: DataFrame | None = None) -> DataFrame:
     op = F.expr("CASE event_type WHEN 'signup' THEN 'CREATE' WHEN 'error' THEN 'DELETE' WHEN 'view' THEN 'READ' "
                 "ELSE 'UPDATE' END")
-    return tables.events.select(
+    return (tables.events if events is None else events).select(
         F.col("user_id").alias("key"), F.col("event_id").alias("seq"), op.alias("op"), "value")
 
 

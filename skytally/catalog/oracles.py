@@ -120,6 +120,13 @@ audit AS (
    PARTITION BY key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 'CREATE', false) AS success
  FROM log)"""
 
+CHANGED_STATE = """deleted AS (SELECT key, max(seq) AS dq FROM log WHERE op = 'DELETE' GROUP BY key),
+created AS (
+ SELECT log.key, min(seq) AS cq FROM log LEFT JOIN deleted USING (key)
+ WHERE op = 'CREATE' AND (dq IS NULL OR seq > dq) GROUP BY log.key)
+SELECT key, seq, value FROM log JOIN created USING (key) WHERE seq = cq OR (op = 'UPDATE' AND seq > cq)
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq DESC) = 1"""
+
 COPIES = """
 copies AS (
  SELECT c_custkey AS key, CASE WHEN (c_custkey + r) % 7 = 0 THEN NULL WHEN (c_custkey + r) % 5 = 0
@@ -195,6 +202,8 @@ RANKED_DAYS = f"WITH {WEEKDAYS} SELECT *, row_number() OVER (ORDER BY perf DESC,
 SERVED_AIRPORTS = f"""WITH {POPULARITY}
  SELECT *, row_number() OVER (ORDER BY popularity DESC, airport DESC) - 1 AS id, 0 AS grp FROM popularity
  ORDER BY popularity DESC, airport DESC LIMIT 10"""
+LAST_EVENTS = """SELECT user_id, event_type, event_id, value FROM events
+     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1"""
 FOUND_TRIPS = f"WITH {TRIPS} SELECT * FROM found"
 
 ORACLES: dict[str, str] = {
@@ -253,8 +262,13 @@ ORACLES: dict[str, str] = {
      dest AS destination1, CAST(arr_time AS VARCHAR) AS arr_time1, flight_id AS flight_id1 FROM flights""",
     "load_table_last_write": """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(event_id AS VARCHAR) AS event_id
      FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 2 DESC, event_id DESC) = 1""",
-    "upsert_last_write": """SELECT user_id, event_type, event_id, value FROM events
-     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1""",
+    "upsert_last_write": LAST_EVENTS,
+    "stored_upsert": LAST_EVENTS,
+    "stored_upsert_get": f"SELECT * FROM ({LAST_EVENTS}) WHERE user_id % 10 = 3",
+    "stored_wide_put": f"WITH {CELLS} SELECT * FROM latest",
+    "stored_scan_column": f"WITH {CELLS} SELECT row_key, value FROM latest WHERE family = 'click' AND qualifier = 'k'",
+    "stored_scan_range": f"WITH {CELLS} SELECT * FROM latest WHERE row_key >= 'row00010' AND row_key < 'row00100'",
+    "stored_point_get": f"WITH {CELLS} SELECT * FROM latest WHERE row_key = 'row00010'",
     "publish_lines": r"""SELECT line, count(*) AS n
      FROM (SELECT unnest(string_split_regex(text, '\r\n|\r|\n')) AS line FROM documents) WHERE line <> '' GROUP BY line""",
     "wide_put_latest": f"WITH {CELLS} SELECT row_key, {_FAMILY_COLUMNS} FROM latest GROUP BY row_key",
@@ -321,6 +335,15 @@ ORACLES: dict[str, str] = {
      SELECT movie_id, round(dot / (sqrt(sq) * sqrt((SELECT CAST(sum(s * s) AS BIGINT) FROM source))), 9) AS score,
       p_name AS title, p_type AS genres FROM dots JOIN part ON movie_id = p_partkey""",
 
+    "movie_similarity_topk": f"""WITH {RATINGS},
+     norms AS (SELECT movie_id, sqrt(CAST(sum(rating * rating) AS BIGINT)) AS norm FROM ratings GROUP BY movie_id),
+     dots AS (SELECT a.movie_id, b.movie_id AS other_id, CAST(sum(a.rating * b.rating) AS BIGINT) AS dot
+      FROM ratings a JOIN ratings b ON a.user_id = b.user_id AND a.movie_id <> b.movie_id GROUP BY a.movie_id, b.movie_id),
+     scored AS (SELECT d.movie_id, other_id, round(dot / (x.norm * y.norm), 9) AS score
+      FROM dots d JOIN norms x ON x.movie_id = d.movie_id JOIN norms y ON y.movie_id = other_id)
+     SELECT movie_id, CAST(row_number() OVER (PARTITION BY movie_id ORDER BY score DESC, other_id) AS INT) AS rank, other_id, score
+     FROM scored QUALIFY rank <= 5""",
+
     "stream_top_airports": TOP_AIRPORTS,
     "stream_ontime_weekday": RANKED_DAYS,
     "stream_top_airlines_from_x": TOP_FROM,
@@ -332,15 +355,24 @@ ORACLES: dict[str, str] = {
     "stream_word_count_normalized": f"WITH {SPOKEN} SELECT * FROM normal_counts",
     "stream_top_words": f"WITH {SPOKEN} SELECT * FROM normal_top",
     "stream_heartbeat_status": f"WITH {HEARTBEATS} SELECT * FROM status",
+    "stream_failure_transitions": """WITH
+     beats AS (SELECT user_id AS member, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS tick, max(event_id) AS heartbeat FROM events
+      GROUP BY ALL),
+     steps AS (SELECT *, max(heartbeat) OVER (PARTITION BY member ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+      AS before FROM beats),
+     advances AS (SELECT member, tick, heartbeat, lag(tick) OVER w AS previous, lead(tick) OVER w AS following
+      FROM steps WHERE before IS NULL OR heartbeat > before WINDOW w AS (PARTITION BY member ORDER BY tick)),
+     transitions AS (
+      SELECT member, tick, 'alive' AS status, heartbeat FROM advances WHERE previous IS NULL OR previous + 6 < tick
+      UNION ALL SELECT member, tick + 6, 'suspect', heartbeat FROM advances WHERE following IS NULL OR tick + 6 < following
+      UNION ALL SELECT member, tick + 26, 'removed', heartbeat FROM advances WHERE following IS NULL OR tick + 26 < following)
+     SELECT * FROM transitions WHERE tick <= (SELECT max(tick) FROM beats) - 12""",
+    "stream_changelog_audit": f"WITH {AUDIT} SELECT * FROM audit WHERE seq <= (SELECT max(seq) FROM log) - 100",
+    "stream_changelog_state": f"""WITH {CHANGES.replace("FROM events", "FROM events WHERE event_id <= (SELECT max(event_id) FROM events) - 100")},
+     {CHANGED_STATE}""",
 
     "sensor_alarms": ALARMS,
-    "changelog_state": f"""WITH {CHANGES},
-     deleted AS (SELECT key, max(seq) AS dq FROM log WHERE op = 'DELETE' GROUP BY key),
-     created AS (
-      SELECT log.key, min(seq) AS cq FROM log LEFT JOIN deleted USING (key)
-      WHERE op = 'CREATE' AND (dq IS NULL OR seq > dq) GROUP BY log.key)
-     SELECT key, seq, value FROM log JOIN created USING (key) WHERE seq = cq OR (op = 'UPDATE' AND seq > cq)
-     QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq DESC) = 1""",
+    "changelog_state": f"WITH {CHANGES}, {CHANGED_STATE}",
     "changelog_audit": f"WITH {AUDIT} SELECT * FROM audit",
     "changelog_audit_counts": f"WITH {AUDIT} SELECT op, success, count(*) AS n FROM audit GROUP BY op, success",
     "quorum_read": f"""WITH {COPIES},

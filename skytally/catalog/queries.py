@@ -10,14 +10,16 @@ from skytally.catalog import inputs
 from skytally.catalog.inputs import Tables
 from skytally.functions import text as text_functions
 from skytally.operators import (
-    changelog, flights as fl, graph, learn, links as lk, membership, recommend, replicas, sensors, serving, trips, words,
+    changelog, flights as fl, graph, learn, links as lk, membership, recommend, replicas, sensors, serving, similar, trips,
+    words,
 )
 from skytally.plans.durable import durable, scratch_path
 from skytally.plans.joins import restrict_to
 from skytally.schemas import CLEAN_COLUMNS, FLIGHT_COLUMNS
 from skytally.sinks import tables as sink
+from skytally.sinks.stored import KeyedTable, cell_table, read_wide_table, write_wide_table
 from skytally.sources import flights as flight_files, text as text_files, wide
-from skytally.streaming import jobs
+from skytally.streaming import jobs, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,8 @@ QUERIES: dict[str, Query] = {}
 AIRLINE_FIELDS = ["origin", "dest", "airline_id", "arr_delayed"]
 TRIP_FIELDS = ["origin", "dest", "flight_date", "dep_time", "arr_time", "flight_id"]
 SOURCE_MOVIE = 1
+DETECTION_LAG = 12  # ticks
+AUDIT_LAG = 100  # sequence numbers
 SOURCE_VERTEX = 1
 FAMILIES = {name: ["k", "value"] for name in ("click", "error", "purchase", "signup", "view")}
 
@@ -275,6 +279,56 @@ def publish_lines(t: Tables) -> DataFrame:
     return published.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def stored_upsert(t: Tables) -> DataFrame:
+    """Signups are put first, then all events; only the table's files are read back."""
+    events = t.events.select("user_id", "event_type", "event_id", "value")
+    table = KeyedTable(t.spark, scratch_path(t.spark, "stored"), events.schema, ["user_id", "event_type"], ["event_id"], 16)
+    table.put(events.where("event_type = 'signup'"))
+    table.put(events)
+    return table.read()
+
+
+@query
+def stored_upsert_get(t: Tables) -> DataFrame:
+    """The rows of some users' keys, from their buckets."""
+    events = t.events.select("user_id", "event_type", "event_id", "value")
+    table = KeyedTable(t.spark, scratch_path(t.spark, "stored"), events.schema, ["user_id", "event_type"], ["event_id"], 16)
+    table.put(events)
+    return table.get(events.where("user_id % 10 = 3").select("user_id", "event_type"))
+
+
+@query
+def stored_wide_put(t: Tables) -> DataFrame:
+    """Cells put in two parts, the later ones first."""
+    cells = inputs.cells(t)
+    table = cell_table(t.spark, scratch_path(t.spark, "cells"), 16)
+    table.put(cells.where("seq % 2 = 1"))
+    table.put(cells.where("seq % 2 = 0"))
+    return table.read().select("row_key", "family", "qualifier", "value")
+
+
+def _stored_cells(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "wide")
+    write_wide_table(inputs.cells(t), path, files=32)
+    return read_wide_table(t.spark, path)
+
+
+@query
+def stored_scan_column(t: Tables) -> DataFrame:
+    return wide.scan_column(_stored_cells(t), "click", "k").select("row_key", "value")
+
+
+@query
+def stored_scan_range(t: Tables) -> DataFrame:
+    return wide.scan_range(_stored_cells(t), "row00010", "row00100")
+
+
+@query
+def stored_point_get(t: Tables) -> DataFrame:
+    return wide.scan_range(_stored_cells(t), "row00010", "row00010")
+
+
 @query
 def wide_put_latest(t: Tables) -> DataFrame:
     rows = sink.family_rows(inputs.cells(t), FAMILIES)
@@ -421,6 +475,11 @@ def movie_similarity(t: Tables) -> DataFrame:
     return recommend.movie_similarity(inputs.ratings(t), inputs.movies(t), SOURCE_MOVIE)
 
 
+@query
+def movie_similarity_topk(t: Tables) -> DataFrame:
+    return similar.similar_movies(inputs.ratings(t), k=5)
+
+
 FEATURES = ["size", "price", "quantity", "discount"]
 
 
@@ -508,6 +567,25 @@ def stream_heartbeat_status(t: Tables) -> DataFrame:
     return jobs.stream_heartbeat_status(inputs.heartbeats(t.stream("events")), now)
 
 
+@query
+def stream_failure_transitions(t: Tables) -> DataFrame:
+    return live.stream_failure_transitions(inputs.heartbeats(t.stream("events")), DETECTION_LAG)
+
+
+def _log_stream(t: Tables) -> DataFrame:
+    return inputs.change_log(t, t.stream("events"))
+
+
+@query
+def stream_changelog_audit(t: Tables) -> DataFrame:
+    return live.stream_changelog_audit(_log_stream(t), AUDIT_LAG)
+
+
+@query
+def stream_changelog_state(t: Tables) -> DataFrame:
+    return live.stream_changelog_state(_log_stream(t), AUDIT_LAG)
+
+
 # --- event logs -------------------------------------------------------------------------------------------------------
 
 @query
