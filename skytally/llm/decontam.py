@@ -148,6 +148,7 @@ def clean_documents(
     Whether a row goes depends on its text alone, so the words' hash tells the rows to drop.
     """
     rated = contaminated_words(documents, benchmark, window, shingle)
-    bad = _bounded(durable(rated.where("contaminated").select("text_key").distinct()), 64)
-    rows = documents.withColumn("_text_key", F.xxhash64(words()))
-    return rows.join(bad, F.col("_text_key") == F.col("text_key"), "left_anti").select(*documents.columns)
+    key = "clean_documents.text_key"  # no column of the caller's
+    bad = _bounded(durable(rated.where("contaminated").select(F.col("text_key").alias(key)).distinct()), 64)
+    rows = documents.withColumn(key, F.xxhash64(words()))
+    return rows.join(bad, key, "left_anti").select(*documents.columns)

@@ -119,19 +119,23 @@ def mixed_documents(
     ``n_chars``, where there is one, follows the text. Documents of which nothing is taken have no row.
     """
     columns = documents.columns
-    sized = documents.withColumns({"size": word_count(), "cell": cell(seed=seed)})
+    sized = documents.select(
+        F.struct(*columns).alias("input"), "source", word_count().alias("size"), cell(seed=seed).alias("cell"))
     taken = with_plan(sized, source_plan(sized.select("source", "size", "cell"), weights, share, epochs))
     copies = F.expr("CASE WHEN size = 0 THEN 0L ELSE taken div size END")
-    parts = F.expr("CASE WHEN size = 0 THEN 0L ELSE taken % size END")
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    begin = F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), " ")
-    rows = taken.select(*columns, copies.alias("_copies"), parts.alias("_part")).withColumn("_row", F.explode(
-        F.concat(F.array_repeat(F.lit(True), F.col("_copies").cast("int")),
-                 F.array_repeat(F.lit(False), F.when(F.col("_part") > 0, 1).otherwise(0)))))
-    rows = rows.withColumn("text", F.when(F.col("_row"), F.col("text")).otherwise(begin))
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_row"), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return rows.select(*columns)
+    part = F.expr("CASE WHEN size = 0 THEN 0L ELSE taken % size END")
+    rows = taken.select("input", copies.alias("copies"), part.alias("part")).select("input", "part", F.explode(
+        F.concat(F.array_repeat(F.lit(True), F.col("copies").cast("int")),
+                 F.array_repeat(F.lit(False), F.when(F.col("part") > 0, 1).otherwise(0)))).alias("whole"))
+    words = F.regexp_extract_all("input.text", F.lit(WORD), F.lit(0))
+    begin = F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), " ")
+    rows = rows.select("input", "whole", F.when(F.col("whole"), F.col("input.text")).otherwise(begin).alias("text"))
+    follows = {
+        "text": F.col("text"),
+        "n_chars": F.when(F.col("whole"), F.col("input.n_chars") if "n_chars" in columns else None).otherwise(
+            F.length("text").cast("long"))}
+    return rows.select(*[follows.get(c, F.col("input")[c]).alias(c) for c in columns])
+
 
 
 def mixing_sql(documents: str = "documents", seed: str = SEED) -> str:

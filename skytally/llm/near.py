@@ -328,10 +328,24 @@ def jaccard_groups(
 
 
 def one_of_each_group(documents: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """The rows of ``documents``, with all their columns, whose id is the smallest of their group.
+    """One row of each group of ``documents``, with all columns: the one of the smallest id.
 
-    Of rows that share such an id one stays; rows without an id stay, as do texts without a word.
+    Rows that share an id or have none are told apart by their text: they get a number of their own by a 64-bit hash of
+    id and text, above all ids of other rows. So different texts of one id stay apart, equal rows are one, and copies
+    without an id go where a row with an id is in their group. Texts without a word are groups of their own.
     """
-    first = jaccard_groups(documents, n, num, den, count_links=False).where("component_id = doc_id").select("doc_id").distinct()
-    named = documents.join(durable(first), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*documents.columns).unionByName(documents.where("doc_id IS NULL"))
+    node = "one_of_each_group.node"  # no column of the caller's
+    unclear = durable(documents.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select("doc_id"))
+    own = F.col("doc_id").cast("long")
+    if unclear.isEmpty():
+        named = documents.withColumn(node, own)
+    else:
+        told = F.lit(1 << 62).bitwiseOR(F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)))
+        flag = unclear.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_unclear"))
+        rows = documents.select(F.struct(*documents.columns).alias("input"))
+        rows = rows.join(flag, F.col("input.doc_id").eqNullSafe(F.col("_id")), "left")
+        rows = durable(rows.select(*[F.col("input")[c].alias(c) for c in documents.columns], F.col("_unclear").alias(node)))
+        named = rows.withColumn(node, F.when(F.col(f"`{node}`"), told).otherwise(own))
+    groups = jaccard_groups(named.select(F.col(f"`{node}`").alias("doc_id"), "text"), n, num, den, count_links=False)
+    first = durable(groups.where("component_id = doc_id").select(F.col("doc_id").alias(node)).distinct())
+    return named.join(first, [node], "left_semi").dropDuplicates([node]).select(*documents.columns)

@@ -168,11 +168,13 @@ def read_page(data: bytes) -> list[tuple[int | None, np.ndarray]]:
 def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, end_id: int = END_ID) -> None:
     """Encode whole texts and write them to ``path`` as pages in ascending document order.
 
-    Documents are dealt by ranges of ``doc_id`` and sorted within them. A row of the written Parquet table is one page
+    Documents are dealt by ranges of ``doc_id`` and the hash of the text, so that equal and null ids are spread too, and
+    sorted within them. A row of the written Parquet table is one page
     (shard, page, n_ids, payload); Parquet only carries the pages, so any store that Spark writes to will do. A null
-    text has no ids but the end id; null ids come last, equal ids in the order of their texts.
+    text has no ids but the end id; null ids come last, equal ids in the order of the hashes of their texts, then of the
+    texts. Columns other than ``doc_id`` and ``text`` are ignored; an empty table gives no pages.
     """
-    order = (F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first())
+    order = (F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc(), F.col("text").asc_nulls_first())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, page = TaskContext.get().partitionId(), 0
@@ -198,7 +200,7 @@ def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, en
             yield flush()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pages = rows.repartitionByRange(order[0]).sortWithinPartitions(*order).mapInArrow(encode, _PAGES)
+    pages = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).mapInArrow(encode, _PAGES)
     pages.write.option("parquet.block.size", 16 << 20).parquet(path)
 
 

@@ -2,7 +2,11 @@
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from skytally.llm.mixing import mix_sources
+from skytally.llm.decontam import clean_documents
+from skytally.llm.mixing import mix_sources, mixed_documents
+from skytally.llm.near import one_of_each_group
+from skytally.llm.token_files import read_token_pages, write_token_pages
+from skytally.plans.durable import scratch_path
 from tests.conftest import TABLES
 from tests.llm.test_operators import plain_contamination, plain_groups
 
@@ -28,3 +32,45 @@ def test_stages(spark, tmp_path):
     copies = sum(-(-t // s) if s else 0 for t, s in taken.values())
     assert given[4].count() == copies == docs.count()
     assert contract.queries()["pipeline"](spark, TABLES).count() == copies
+
+
+def test_stages_keep_clashing_columns_and_odd_ids(spark):
+    """Columns that the stages use names of come back with their values; ids that repeat or lack lose no text."""
+    names = "size cell target whole source_size end_cell text_key node part input copies batch count".split()
+    text = lambda word, n=80: " ".join(f"{word}{i}" for i in range(n))
+    given = [(1, text("a")), (1, text("b")), (1, text("a")), (2, text("c")), (None, text("c")), (None, text("d")),
+             (None, text("d")), (3, text("bench")), (None, None), (4, ""), (5, text("e") + " x"), (6, text("e"))]
+    rows = [(d, t, "s", len(t or ""), *[f"{name}{i}" for name in names]) for i, (d, t) in enumerate(given)]
+    schema = "doc_id long, text string, source string, n_chars long, " + ", ".join(f"{name} string" for name in names)
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    known = {tuple(r) for r in rows}
+
+    kept = one_of_each_group(docs).collect()
+    assert {tuple(r) for r in kept} <= known
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted(
+        [(1, text("a")), (1, text("b")), (2, text("c")), (0, text("d")), (3, text("bench")), (0, ""), (4, ""), (5, text("e") + " x")])
+
+    items = spark.createDataFrame([(1, text("bench", 12))], "item_id long, text string")
+    clean = clean_documents(docs, items).collect()
+    assert {tuple(r) for r in clean} == {r for r in known if r[0] != 3} and len(clean) == len(rows) - 1
+
+    mixed = mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    by_rest = {r[4:]: r for r in rows}
+    for r in mixed.collect():
+        was = by_rest[tuple(r)[4:]]
+        assert (r.doc_id, r.source) == (was[0], was[2]) and was[1].startswith(r.text) and r.n_chars == len(r.text)
+
+
+def test_null_ids_make_several_shards(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which joins what is small
+    docs = spark.range(4000).selectExpr("CAST(NULL AS LONG) AS doc_id", "concat('text ', id) AS text")
+    path = scratch_path(spark, "null_ids")
+    try:
+        write_token_pages(docs, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert spark.read.parquet(path).select("shard").distinct().count() > 1
+    found = read_token_pages(spark, path).orderBy("start").collect()
+    assert len(found) == 4000 and found[0].start == 0
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:]))
