@@ -187,6 +187,7 @@ def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, en
                  pa.array([write_page(docs)], pa.binary())], names=["shard", "page", "n_ids", "payload"])
 
         for batch in batches:
+            pa.default_memory_pool().release_unused()  # a worker may still hold what an earlier stage used
             names = batch["doc_id"].to_pylist()
             for begin in range(0, len(names), TEXTS_AT_ONCE):
                 texts = [t or "" for t in batch["text"].slice(begin, TEXTS_AT_ONCE).to_pylist()]
