@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import struct
 import zlib
 from collections.abc import Iterator
@@ -165,6 +166,14 @@ def read_page(data: bytes) -> list[tuple[int | None, np.ndarray]]:
             for name, is_null, x in zip(names, null, np.split(ids, ends[:-1]))]
 
 
+def _give_back() -> None:
+    """Return memory that this worker freed, perhaps in an earlier stage, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, end_id: int = END_ID) -> None:
     """Encode whole texts and write them to ``path`` as pages in ascending document order.
 
@@ -187,7 +196,7 @@ def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, en
                  pa.array([write_page(docs)], pa.binary())], names=["shard", "page", "n_ids", "payload"])
 
         for batch in batches:
-            pa.default_memory_pool().release_unused()  # a worker may still hold what an earlier stage used
+            _give_back()
             names = batch["doc_id"].to_pylist()
             for begin in range(0, len(names), TEXTS_AT_ONCE):
                 texts = [t or "" for t in batch["text"].slice(begin, TEXTS_AT_ONCE).to_pylist()]
