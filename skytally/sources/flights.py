@@ -20,9 +20,14 @@ def _typed(column: str):
     return text.alias(column)
 
 
+def typed_columns() -> list:
+    """The typed columns of flights from the all-text ones; unreadable fields are NULL."""
+    return [_typed(column) for column in FLIGHT_COLUMNS]
+
+
 def type_flights(raw: DataFrame) -> DataFrame:
-    """Typed flights from the all-text columns; unreadable fields are NULL. Works on streams too."""
-    return raw.select(*[_typed(column) for column in FLIGHT_COLUMNS])
+    """Typed flights from the all-text columns. Works on streams too."""
+    return raw.select(*typed_columns())
 
 
 def read_flights(spark: SparkSession, paths: str | list[str]) -> DataFrame:
