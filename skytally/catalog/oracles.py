@@ -242,6 +242,9 @@ ORACLES: dict[str, str] = {
     "src_flight_csv": f"WITH {FLIGHTS} {FULL_FLIGHT}",
     "src_manifest": f"""WITH {FLIGHTS} SELECT origin, dest, count(*) AS flights,
      CAST(sum(arr_delay_minutes) AS BIGINT) AS delay FROM flights GROUP BY origin, dest""",
+    "src_flight_rejects": f"""WITH {FLIGHTS} SELECT CAST(year(flight_date) AS VARCHAR) AS year,
+     CASE CAST(split_part(flight_id, '-', 1) AS BIGINT) % 10 WHEN 0 THEN 'blank' WHEN 1 THEN 'short' WHEN 2 THEN 'unreadable'
+      ELSE 'good' END AS verdict, count(*) AS n FROM flights GROUP BY ALL""",
     "clean_project": f"WITH {FLIGHTS} {FULL_FLIGHT}",
     "src_double_colon": "SELECT p_partkey AS movie_id, p_name || ', again' AS title, p_type AS genres FROM part",
 
@@ -367,6 +370,7 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT member, tick + 6, 'suspect', heartbeat FROM advances WHERE following IS NULL OR tick + 6 < following
       UNION ALL SELECT member, tick + 26, 'removed', heartbeat FROM advances WHERE following IS NULL OR tick + 26 < following)
      SELECT * FROM transitions WHERE tick <= (SELECT max(tick) FROM beats) - 12""",
+    "stream_batch_counts": "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS records FROM events",
     "stream_changelog_audit": f"WITH {AUDIT} SELECT * FROM audit WHERE seq <= (SELECT max(seq) FROM log) - 100",
     "stream_changelog_state": f"""WITH {CHANGES.replace("FROM events", "FROM events WHERE event_id <= (SELECT max(event_id) FROM events) - 100")},
      {CHANGED_STATE}""",

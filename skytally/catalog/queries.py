@@ -18,8 +18,10 @@ from skytally.plans.joins import restrict_to
 from skytally.schemas import CLEAN_COLUMNS, FLIGHT_COLUMNS
 from skytally.sinks import tables as sink
 from skytally.sinks.stored import KeyedTable, cell_table, read_wide_table, write_wide_table
-from skytally.sources import flights as flight_files, text as text_files, wide
+from skytally.sources import flights as flight_files, judged, text as text_files, wide
 from skytally.streaming import jobs, live
+from skytally.streaming.progress import run_logged
+from skytally.streaming.runner import RunningTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +167,23 @@ def src_manifest(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("flights"), F.sum("arr_delay_minutes").alias("delay"))
 
 
+@query
+def src_flight_rejects(t: Tables) -> DataFrame:
+    """Verdicts by year on flight files of which some lines are blank, cut short, or hold a date that is none."""
+    path = scratch_path(t.spark, "faulty")
+    flights = _file_columns(inputs.flights(t))
+    fault = F.substring_index("flight_id", "-", 1).cast("bigint") % 10
+    fields = [F.coalesce(c, F.lit("NA")) for c in FLIGHT_COLUMNS]
+    date = FLIGHT_COLUMNS.index("flight_date")
+    line = (
+        F.when(fault == 0, F.lit("")).when(fault == 1, F.concat_ws(", ", *fields[:2]))
+        .when(fault == 2, F.concat_ws(", ", *fields[:date], F.lit("never"), *fields[date + 1:]))
+        .otherwise(F.concat_ws(", ", *fields)))
+    flights.select(line.alias("value"), F.substring("flight_date", 1, 4).alias("year")).write.partitionBy("year").text(path)
+    judged_rows = judged.read_judged_flights(t.spark, path)
+    return judged.verdict_counts(judged_rows.withColumn("year", F.regexp_extract("file", r"year=(\d+)", 1)), "year")
+
+
 @query
 def clean_project(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "on_time")
@@ -576,6 +595,13 @@ def _log_stream(t: Tables) -> DataFrame:
     return inputs.change_log(t, t.stream("events"))
 
 
+@query
+def stream_batch_counts(t: Tables) -> DataFrame:
+    """Records of each micro-batch of the event stream, as the query's listener was told."""
+    table = RunningTable(scratch_path(t.spark, "events"), [], t.events.schema)
+    return run_logged(t.stream("events"), table.write_batch, scratch_path(t.spark, "checkpoint"), "append")
+
+
 @query
 def stream_changelog_audit(t: Tables) -> DataFrame:
     return live.stream_changelog_audit(_log_stream(t), AUDIT_LAG)
