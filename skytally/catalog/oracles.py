@@ -304,6 +304,8 @@ ORACLES: dict[str, str] = {
     "inlink_count": f"WITH {INLINKS} SELECT * FROM inlinks",
     "orphan_pages": f"WITH {INLINKS} SELECT id FROM inlinks WHERE inlinks = 0",
     "top_popular_links": f"WITH {INLINKS} SELECT * FROM inlinks ORDER BY inlinks DESC, id DESC LIMIT 10",
+    "rank_line_prices": """SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice,
+     rank() OVER (ORDER BY l_extendedprice) - 1 AS rank FROM lineitem""",
     "popularity_league": f"""WITH {INLINKS} SELECT id, rank() OVER (ORDER BY inlinks) - 1 AS rank FROM inlinks
      WHERE id IN (SELECT c_custkey FROM customer)""",
     "graph_components": """WITH homes AS (
@@ -352,9 +354,11 @@ ORACLES: dict[str, str] = {
     "stream_top_airlines_from_x": TOP_FROM,
     "stream_top_airlines_xy": TOP_BETWEEN,
     "stream_mean_delay": f"WITH {DELAYS}, {PAIRS} SELECT origin, dest, mean_delay FROM delays JOIN pairs USING (origin, dest)",
+    "stream_mean_delay_batches": f"WITH {DELAYS}, {PAIRS} SELECT origin, dest, mean_delay FROM delays JOIN pairs USING (origin, dest)",
     "stream_trip_best": FOUND_TRIPS,
     "stream_sensor_alarms": ALARMS,
     "stream_word_count": f"WITH {SPOKEN} SELECT * FROM sentence_counts",
+    "stream_word_count_batches": f"WITH {SPOKEN} SELECT * FROM sentence_counts",
     "stream_word_count_normalized": f"WITH {SPOKEN} SELECT * FROM normal_counts",
     "stream_top_words": f"WITH {SPOKEN} SELECT * FROM normal_top",
     "stream_heartbeat_status": f"WITH {HEARTBEATS} SELECT * FROM status",

@@ -15,10 +15,12 @@ from skytally.operators import (
 )
 from skytally.plans.durable import durable, scratch_path
 from skytally.plans.joins import restrict_to
+from skytally.plans.ranking import rank_below
 from skytally.schemas import CLEAN_COLUMNS, FLIGHT_COLUMNS
 from skytally.sinks import tables as sink
 from skytally.sinks.stored import KeyedTable, cell_table, read_wide_table, write_wide_table
 from skytally.sources import flights as flight_files, judged, text as text_files, wide
+from skytally.sources.streams import stream_source
 from skytally.streaming import jobs, live
 from skytally.streaming.progress import run_logged
 from skytally.streaming.runner import RunningTable
@@ -446,6 +448,12 @@ def popularity_league(t: Tables) -> DataFrame:
     return lk.popularity_league(inputs.links(t), inputs.league(t))
 
 
+@query
+def rank_line_prices(t: Tables) -> DataFrame:
+    """For each order line, the number of lines with a lower price."""
+    return rank_below(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"), "l_extendedprice")
+
+
 @query
 def graph_components(t: Tables) -> DataFrame:
     edges = inputs.territory_edges(t)
@@ -586,6 +594,24 @@ def stream_heartbeat_status(t: Tables) -> DataFrame:
     return jobs.stream_heartbeat_status(inputs.heartbeats(t.stream("events")), now)
 
 
+def _in_batches(t: Tables, df: DataFrame, batches: int = 5) -> DataFrame:
+    """The rows of ``df`` as a stream of so many micro-batches."""
+    path = scratch_path(t.spark, "files")
+    df.repartition(batches).write.parquet(path)
+    return stream_source(t.spark, "parquet", path, df.schema, max_files_per_trigger=1)
+
+
+@query
+def stream_mean_delay_batches(t: Tables) -> DataFrame:
+    flights = inputs.flights(t, ["origin", "dest", "arr_delay_minutes"])
+    return jobs.stream_mean_delay(_in_batches(t, flights), inputs.pair_list(t))
+
+
+@query
+def stream_word_count_batches(t: Tables) -> DataFrame:
+    return jobs.stream_word_count(_in_batches(t, inputs.document_lines(t.documents)))
+
+
 @query
 def stream_failure_transitions(t: Tables) -> DataFrame:
     return live.stream_failure_transitions(inputs.heartbeats(t.stream("events")), DETECTION_LAG)
@@ -636,12 +662,13 @@ def changelog_audit_counts(t: Tables) -> DataFrame:
 
 @query
 def quorum_read(t: Tables) -> DataFrame:
-    return replicas.quorum_read(inputs.replicas(t))
+    return replicas.quorum_read(inputs.replicas(t), replica="r")
 
 
 @query
 def quorum_write(t: Tables) -> DataFrame:
-    return replicas.quorum_write(inputs.replicas(t).select("key", F.col("value").isNotNull().alias("ok")))
+    return replicas.quorum_write(
+        inputs.replicas(t).select("key", "r", F.col("value").isNotNull().alias("ok")), replica="r")
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skytally.functions.numeric import RING_SIZE, ring_position
 
@@ -11,20 +11,26 @@ REPLICAS = 3
 QUORUM = 2
 
 
-def quorum_read(replicas: DataFrame, quorum: int = QUORUM) -> DataFrame:
+def _voters(replica: str | None, vote: Column) -> Column:
+    """How many votes are cast: by distinct replicas, where their column is named."""
+    return F.count_if(vote) if replica is None else F.count_distinct(F.when(vote, F.col(replica)))
+
+
+def quorum_read(replicas: DataFrame, quorum: int = QUORUM, replica: str | None = None) -> DataFrame:
     """``(key, value, success)`` from replica answers (key, value): the value that enough replicas agree on.
 
-    Absent and empty answers do not count.
+    Absent and empty answers do not count. With the column ``replica``, one that gives an answer twice counts once, and
+    an answer without a replica does not count.
     """
-    votes = replicas.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+    votes = replicas.groupBy("key", "value").agg(_voters(replica, F.lit(True)).alias("n"))
     agreed = F.when((F.col("n") >= quorum) & (F.col("value").cast("string") != ""), F.col("value"))
     read = votes.groupBy("key").agg(F.max(agreed).alias("value"))
     return read.withColumn("success", F.col("value").isNotNull())
 
 
-def quorum_write(acks: DataFrame, quorum: int = QUORUM) -> DataFrame:
-    """``(key, acks, success)`` from replica replies (key, ok)."""
-    counted = acks.groupBy("key").agg(F.count_if("ok").alias("acks"))
+def quorum_write(acks: DataFrame, quorum: int = QUORUM, replica: str | None = None) -> DataFrame:
+    """``(key, acks, success)`` from replica replies (key, ok); each ``replica``, where it is named, counts once."""
+    counted = acks.groupBy("key").agg(_voters(replica, F.col("ok")).alias("acks"))
     return counted.withColumn("success", F.col("acks") >= quorum)
 
 

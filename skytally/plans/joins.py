@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# A list of at most this many keys is shipped to every task; 100,000 short keys are a few megabytes.
+# A list of at most so many rows and bytes is shipped to every task.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 # A key with more rows than this is joined by broadcast instead of in one shuffle task.
 ROWS_PER_TASK = 5_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. Counting stops one row beyond the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: eight a column, and what texts and nested values add."""
+    size = F.lit(8 * len(df.columns))
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return size
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes. No more than one row beyond is looked at."""
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("bytes")).first()
+    return size.n <= max_rows and (size.bytes or 0) <= max_bytes
 
 
 def restrict_to(rows: DataFrame, wanted: DataFrame, on: list[str], anti: bool = False) -> DataFrame:

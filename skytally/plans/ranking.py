@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skytally.plans.durable import durable
+from skytally.plans.joins import ROWS_PER_TASK
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low 33 bits
 
@@ -56,3 +57,31 @@ def count_below(df: DataFrame, value: str, name: str = "rank") -> DataFrame:
     histogram = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     ranks = histogram.select(value, F.coalesce(F.sum("_n").over(below), F.lit(0)).alias(name))
     return df.join(F.broadcast(ranks), value).select(*df.columns, name)
+
+
+def rank_below(df: DataFrame, value: str, name: str = "rank", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """For each row, how many rows have a strictly smaller ``value`` of any type that sorts (ties share the number).
+
+    Equal values are counted first: however many rows share one, it is one row from there on. The distinct values are
+    range-partitioned and summed up within their range; only one row per range meets in the unpartitioned window.
+    Values of more than ``rows_per_task`` rows, at most one per that many rows, hand out their number by broadcast, the
+    others by a join. NULL has no number and counts for nothing; NaN is larger than every number.
+    """
+    known = df.where(F.col(value).isNotNull())
+    counts = known.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = durable(counts.orderBy(value).withColumn("_part", F.spark_partition_id()))
+    within = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").agg(F.sum("_n").alias("_size")).select(
+        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    ranks = placed.withColumn("_within", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(
+        F.broadcast(offsets), "_part").select(value, "_n", (F.col("_before") + F.col("_within")).alias(name))
+    if placed.where(F.col("_n") > rows_per_task).isEmpty():
+        ranked = known.join(ranks.drop("_n"), value)
+    else:
+        ranks = durable(ranks)
+        hot = F.broadcast(ranks.where(F.col("_n") > rows_per_task).drop("_n"))
+        others = ranks.where(F.col("_n") <= rows_per_task).drop("_n")
+        ranked = known.join(hot, value).unionByName(known.join(hot, value, "left_anti").join(others, value))
+    rankless = df.where(F.col(value).isNull()).withColumn(name, F.lit(None).cast("bigint"))
+    return ranked.select(*df.columns, name).unionByName(rankless)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import time
 from collections.abc import Callable
 
@@ -16,6 +17,8 @@ from skytally.plans.ranking import top_k
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _STATE = "org.apache.spark.sql.execution.streaming.state."
 
+_RUNS = StructType().add("first_batch", LongType()).add("last_batch", LongType()).add("batches", LongType())
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -108,6 +111,68 @@ class RunningTable:
         return current.select(*self.keys, *[F.col(f"_now.{name}").alias(name) for name in values])
 
 
+class CompactedTable(RunningTable):
+    """A running table whose current rows lie in few folders: after n batches, one for each binary digit 1 of n.
+
+    A batch is merged with the runs of no more batches before it, in one pass, into a new run beside them, as a binary
+    counter carries; so a row is written again at most once for each doubling of n. The manifest that lists the runs
+    comes last. It is one file, which appears at once, and nothing it lists is changed later: readers keep what they
+    have begun to read, a batch that fails before its manifest is in none, and one that comes again after it changes
+    nothing. One writer at a time.
+    """
+
+    def _of_batch(self, batch_id: int) -> str:
+        return f"{self.path}_manifests/batch_id={batch_id}"
+
+    def _folder(self, first: int, last: int) -> str:
+        return f"{self.path}/batch_id={last}" if first == last else f"{self.path}_runs/{first}-{last}"
+
+    def runs(self, spark: SparkSession) -> list[tuple[int, int, int]]:
+        """``(first, last, batches)`` of the live runs. Manifests are listed, and only the newest is read."""
+        try:
+            files = spark.read.schema(_RUNS).parquet(f"{self.path}_manifests").inputFiles()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []  # no batch yet
+        newest = max((int(file.rsplit("/batch_id=", 1)[1].split("/")[0]) for file in files), default=None)
+        if newest is None:
+            return []
+        return sorted(tuple(run) for run in spark.read.schema(_RUNS).parquet(self._of_batch(newest)).collect())
+
+    def _newest(self, spark: SparkSession, runs: list[tuple[int, int, int]]) -> DataFrame:
+        """The row of each key in the last run that has it."""
+        read = [spark.read.schema(self.schema).parquet(self._folder(first, last)).withColumn("_run", F.lit(last))
+                for first, last, _ in runs]
+        values = [name for name in self.schema.names if name not in self.keys]
+        newest = functools.reduce(DataFrame.unionByName, read).groupBy(*self.keys).agg(
+            F.max_by(F.struct(*values), "_run").alias("_now"))
+        return newest.select(*[F.col(n if n in self.keys else f"_now.{n}").alias(n) for n in self.schema.names])
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        runs = self.runs(spark)
+        if runs and batch_id <= runs[-1][1]:
+            if batch_id < runs[-1][1]:
+                raise ValueError(f"batch {batch_id} after batch {runs[-1][1]}: the table is of another run of the query")
+            return
+        super().write_batch(batch, batch_id)
+        merged = [(batch_id, batch_id, 1)]
+        while runs and runs[-1][2] <= sum(batches for *_, batches in merged):
+            merged.insert(0, runs.pop())
+        run = (merged[0][0], batch_id, sum(batches for *_, batches in merged))
+        if len(merged) > 1:
+            self._newest(spark, merged).write.mode("overwrite").parquet(self._folder(*run[:2]))
+        self._commit(spark, batch_id, [*runs, run])
+
+    def _commit(self, spark: SparkSession, batch_id: int, runs: list[tuple[int, int, int]]) -> None:
+        spark.createDataFrame(runs, _RUNS).coalesce(1).write.mode("overwrite").parquet(self._of_batch(batch_id))
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        runs = self.runs(spark)
+        return self._newest(spark, runs) if runs else spark.createDataFrame([], self.schema)
+
+
 class TopReport(RunningTable):
     """The n largest running counts after every micro-batch.
 
@@ -133,10 +198,10 @@ class TopReport(RunningTable):
         return changes.where(F.col("batch_id") == newest).select(*self.schema.names)
 
 
-def run_to_table(stream: DataFrame, keys: list[str], root: str | None = None) -> RunningTable:
-    """Run an aggregated stream over all available input into a :class:`RunningTable` below ``root``."""
+def run_to_table(stream: DataFrame, keys: list[str], root: str | None = None) -> CompactedTable:
+    """Run an aggregated stream over all available input into a :class:`CompactedTable` below ``root``."""
     root = root or scratch_path(stream.sparkSession, "stream")
-    table = RunningTable(f"{root}/table", keys, stream.schema)
+    table = CompactedTable(f"{root}/table", keys, stream.schema)
     run_available(stream, table.write_batch, f"{root}/checkpoint")
     return table
 

@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from skytally.operators import changelog, membership, replicas, sensors
 from tests.conftest import rows
 
@@ -61,6 +63,16 @@ def test_quorum(spark):
     assert rows(replicas.quorum_write(acks)) == [("a", 2, True), ("b", 1, False)]
 
 
+def test_a_replica_votes_once(spark):
+    copies = [("twice", "r1", "x"), ("twice", "r1", "x"), ("two", "r1", "x"), ("two", "r2", "x"), ("unknown", None, "x"),
+              ("unknown", "r1", "x")]
+    df = spark.createDataFrame(copies, "key STRING, replica STRING, value STRING")
+    assert rows(replicas.quorum_read(df, replica="replica")) == [
+        ("twice", None, False), ("two", "x", True), ("unknown", None, False)]
+    acks = df.withColumn("ok", F.col("value") == "x")
+    assert rows(replicas.quorum_write(acks, replica="replica")) == [("twice", 1, False), ("two", 2, True), ("unknown", 1, False)]
+
+
 def test_ring(spark):
     from skytally.functions.numeric import ring_position
     names = [f"node{i}" for i in range(7)]

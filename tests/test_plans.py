@@ -1,10 +1,12 @@
+import bisect
 import random
 
 from pyspark.sql import functions as F
 
 from skytally.plans.durable import checkpoint_root, durable, scratch_path
-from skytally.plans.joins import fits_broadcast, lookup_join, restrict_to
-from skytally.plans.ranking import count_below, top_k, with_position
+from skytally.plans.inspect import plan_text
+from skytally.plans.joins import ROWS_PER_TASK, fits_broadcast, lookup_join, restrict_to
+from skytally.plans.ranking import count_below, rank_below, top_k, with_position
 from skytally.session import shuffle_conf
 from tests.conftest import rows
 
@@ -71,3 +73,35 @@ def test_checkpoint_folder_is_the_one_the_session_names(spark):
     assert named is None or root == named
     assert scratch_path(spark, "x").startswith(root.rstrip("/")) and scratch_path(spark, "x") != scratch_path(spark, "x")
     assert "LogicalRDD" in durable(spark.range(3))._jdf.queryExecution().toString()
+
+
+def test_ranks_of_any_measure_share_ties_across_partitions(spark):
+    rng = random.Random(5)
+    values = [rng.choice([2.5, 2.5, 2.5, rng.random() * 5, -1e300, None, float("nan")]) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(values)), "k INT, v DOUBLE").repartition(16)
+    order = lambda v: (v != v, v if v == v else 0)
+    known = sorted((order(v) for v in values if v is not None))
+    expected = {k: None if v is None else bisect.bisect_left(known, order(v)) for k, v in enumerate(values)}
+    for rows_per_task in (ROWS_PER_TASK, 100):
+        found = rank_below(df, "v", rows_per_task=rows_per_task)
+        assert found.columns == ["k", "v", "rank"]
+        assert {r.k: r["rank"] for r in found.collect()} == expected and found.count() == 3000
+    words = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "w STRING")
+    assert rows(rank_below(words, "w")) == [("a", 0), ("b", 1), ("b", 1), ("c", 3)]
+    assert rows(rank_below(words.where("false"), "w")) == []
+
+
+def test_no_rank_needs_all_rows_in_one_window(spark):
+    df = spark.range(20_000).select((F.col("id") * 7919 % 10_007).cast("double").alias("v"))
+    found = rank_below(df, "v")
+    assert "Cartesian" not in plan_text(found) and "NestedLoop" not in plan_text(found)
+    # the only unpartitioned window follows an aggregation by range
+    single = [line for line in plan_text(found, "simple").split("\n") if "SinglePartition" in line]
+    assert len(single) == 1
+    assert found.where("rank = 0").count() == df.where("v = 0").count()
+
+
+def test_broadcasts_are_checked_by_bytes(spark):
+    texts = spark.createDataFrame([("x" * 1000, ["y" * 500], 1)] * 10, "t STRING, a ARRAY<STRING>, n INT")
+    assert fits_broadcast(texts, 10) and not fits_broadcast(texts, 10, 10_000)
+    assert fits_broadcast(texts.select("n"), 10, 100) and fits_broadcast(texts.where("false"), 0, 0)

@@ -1,4 +1,5 @@
 import datetime
+import os
 
 from skytally.schemas import CLEAN_COLUMNS, RATINGS
 from skytally.sinks import tables as sink
@@ -156,3 +157,23 @@ def test_stream_options():
     other = streams.kafka_options("h:1", "t", from_start=False, group="g")
     assert (other["startingOffsets"], other["kafka.group.id"]) == ("latest", "g")
     assert streams.file_options(1, "*.csv") == {"maxFilesPerTrigger": "1", "pathGlobFilter": "*.csv"}
+
+
+def test_headers_of_any_number_of_files_are_found_by_one_job(spark, tmp_path):
+    header, turned = ",".join(CLEAN_COLUMNS), ",".join(reversed(CLEAN_COLUMNS))
+    for i in range(30):
+        lines = [f"row {i}.{n}" for n in range(20_000 if i == 4 else i % 3)]
+        write(tmp_path / f"{i}%20 a.csv", "\n".join(["", " ", turned if i % 5 == 0 else header, *lines]) + "\n")
+    write(tmp_path / "blank.csv", "\n  \n")
+    tracker, context, jobs = spark.sparkContext.statusTracker(), spark.sparkContext, []
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for number, files in enumerate((sorted(map(str, tmp_path.iterdir()))[:2], str(tmp_path))):
+        context.setJobGroup(f"headers{number}", "headers")
+        groups = flights.files_by_header(spark, files)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(tracker.getJobIdsForGroup(f"headers{number}")))
+    assert jobs == [1, 1]
+    assert sorted(len(g) for g in groups) == [6, 24]
+    names = {os.path.basename(path) for path in min(groups, key=len)}
+    assert names == {f"{i}%20 a.csv" for i in range(0, 30, 5)}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == kept

@@ -137,3 +137,46 @@ def test_a_stream_without_input_gives_an_empty_result(spark, tmp_path):
 def test_registered_streams_are_registered_with_sql():
     from skytally.catalog.oracles import ORACLES
     assert {n for n in queries.QUERIES if n.startswith("stream_")} <= set(ORACLES)
+
+
+RUN = "k STRING, n BIGINT"
+
+
+def compacted(spark, tmp_path, name="t"):
+    return runner.CompactedTable(f"{tmp_path}/{name}", ["k"], spark.createDataFrame([], RUN).schema)
+
+
+def put(spark, table, batch_id, **rows_):
+    table.write_batch(spark.createDataFrame(list(rows_.items()), RUN), batch_id)
+
+
+def test_current_rows_lie_in_few_folders(spark, tmp_path):
+    table, expected = compacted(spark, tmp_path), {}
+    assert rows(table.current(spark)) == []
+    for batch in range(11):
+        changed = {f"k{batch % 4}": batch, f"own{batch}": -batch}
+        put(spark, table, batch, **changed)
+        expected |= changed
+        read = {os.path.dirname(path) for path in table.current(spark).inputFiles()}
+        assert len(read) == len(table.runs(spark)) == (batch + 1).bit_count()
+        if batch == 5:
+            opened, then = table.current(spark), sorted(expected.items())
+    assert dict(rows(table.current(spark))) == expected
+    assert table.runs(spark) == [(0, 7, 8), (8, 9, 2), (10, 10, 1)]
+    assert rows(opened) == then  # a reader keeps the runs that it began with
+    assert table.changes(spark).count() == 22
+
+
+def test_a_compacted_batch_counts_once(spark, tmp_path, monkeypatch):
+    table = compacted(spark, tmp_path)
+    put(spark, table, 0, a=1)
+    with monkeypatch.context() as patch:
+        patch.setattr(runner.CompactedTable, "_commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            put(spark, table, 1, a=2, b=2)
+    assert rows(table.current(spark)) == [("a", 1)]  # merged, but in no manifest
+    put(spark, table, 1, a=3, b=3)
+    put(spark, table, 1, a=3, b=3)  # comes again after a restart
+    assert rows(table.current(spark)) == [("a", 3), ("b", 3)] and table.runs(spark) == [(0, 1, 2)]
+    with pytest.raises(ValueError):
+        put(spark, table, 0, a=9)
