@@ -96,11 +96,14 @@ class Encoder:
         young = self.of_chunk.young
         words, marked, joined, alone = set(), [], [], []
         for c in self.of_chunk.unknown(chunks):
+            if c.isalpha():
+                joined.append(c)
+                continue
             word = c.rstrip(_MARKS)
             if word.isalpha():
-                words.add(word)
-                if word != c:
-                    marked.append((c, word, c[len(word):]))
+                if word not in chunks:  # else it is known, or among the new ones
+                    words.add(word)
+                marked.append((c, word, c[len(word):]))
             else:
                 (joined if c and c == c.strip() else alone).append(c)
         joined += self.of_chunk.unknown(words)
@@ -121,7 +124,7 @@ class Encoder:
         cut = {i: t.split(" ") for i, t in enumerate(texts) if i not in whole}
         self.of_chunk.turn()
         heads = {i: chunks.pop(0) for i, chunks in cut.items()}  # no space before it
-        self._learn_chunks(set().union(*cut.values()) - self.of_chunk.young.keys())
+        self._learn_chunks(set().union(*cut.values()))
         get = self.of_chunk.young.__getitem__
         out = dict(zip(whole, self._whole([texts[i] for i in whole])))
         for i, head in zip(heads, self._whole(list(heads.values()))):
