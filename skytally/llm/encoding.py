@@ -47,12 +47,11 @@ class Remembered:
         """Those of ``pieces`` that have to be made; the others are in the young generation from now on."""
         young, old = self.young, self.old
         new = []
-        for p in pieces:
-            if p not in young:
-                if p in old:
-                    young[p] = old[p]
-                else:
-                    new.append(p)
+        for p in pieces.difference(young):
+            if p in old:
+                young[p] = old[p]
+            else:
+                new.append(p)
         return new
 
 
@@ -127,8 +126,10 @@ class Encoder:
         self._learn_chunks(set().union(*cut.values()))
         get = self.of_chunk.young.__getitem__
         out = dict(zip(whole, self._whole([texts[i] for i in whole])))
-        for i, head in zip(heads, self._whole(list(heads.values()))):
-            out[i] = head + b"".join(map(get, cut[i]))
+        first = sorted(set(heads.values()))
+        of_head = dict(zip(first, self._whole(first)))
+        for i, head in heads.items():
+            out[i] = of_head[head] + b"".join(map(get, cut[i]))
         return [out[i] for i in range(len(texts))]
 
 

@@ -187,6 +187,7 @@ def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, en
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, page = TaskContext.get().partitionId(), 0
+        end = struct.pack("<I", end_id)
         docs: list[tuple[int | None, np.ndarray]] = []
         held = 0
 
@@ -201,7 +202,7 @@ def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, en
             for begin in range(0, len(names), TEXTS_AT_ONCE):
                 texts = [t or "" for t in batch["text"].slice(begin, TEXTS_AT_ONCE).to_pylist()]
                 for name, ids in zip(names[begin:], encoder(tokenizer).encode(texts)):
-                    docs.append((name, np.r_[np.frombuffer(ids, "<u4"), np.uint32(end_id)]))
+                    docs.append((name, np.frombuffer(ids + end, "<u4")))
                     held += len(docs[-1][1])
                     if held >= PAGE_IDS:
                         yield flush()
