@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,6 +24,33 @@ LIVE_CHARS, LIVE_DISTINCT = 16, 8
 _SPAN = "struct<start: int, end: int, kind: int, value_start: int, value_hash: binary, strong: boolean>"
 
 
+_BLOCK_BITS = 6  # sums are run in blocks of 64
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running_sums(numbers: Column) -> Column:
+    """The sum of an array of integers up to each of them.
+
+    Sums of whole blocks come first, then those within a block, so a long array costs little more than its length.
+    """
+    def total(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0), lambda total, x: total + x)
+
+    def summed(numbers: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.shiftright(F.size(numbers) - 1, _BLOCK_BITS))
+        start = lambda block: F.shiftleft(block, _BLOCK_BITS) + 1
+        before = F.aggregate(blocks, F.array(F.lit(0)), lambda sums, block: F.concat(sums, F.array(
+            F.element_at(sums, -1) + total(F.slice(numbers, start(block), F.lit(1 << _BLOCK_BITS))))))
+        return _let(before, lambda before: F.transform(numbers, lambda _, i: F.get(before, F.shiftright(i, _BLOCK_BITS)) + total(
+            F.slice(numbers, start(F.shiftright(i, _BLOCK_BITS)), i % (1 << _BLOCK_BITS) + 1))))
+
+    return _let(numbers, summed)
+
+
 def _matches(kind: int, pattern: str, value: Column | None, least: int) -> Column:
     """The spans of a kind: leftmost matches, located by the lengths of the pieces between them.
 
@@ -33,22 +61,21 @@ def _matches(kind: int, pattern: str, value: Column | None, least: int) -> Colum
     values = whole if value is None else value
     pieces = F.transform(F.split(text, pattern, -1), F.length)
     empty = F.array().cast(f"array<{_SPAN}>")
+    found, secrets = F.col(f"_whole{kind}"), F.col(f"_values{kind}")
+    indexes = F.sequence(F.lit(0), F.size(found) - 1)
+    steps = F.transform(found, lambda match, i: F.length(match) + F.get(F.col(f"_pieces{kind}"), i))
 
-    def span(state: Column, i: Column) -> Column:
-        start = state["at"] + F.get(F.col(f"_pieces{kind}"), i)
-        found, secret = F.get(F.col(f"_whole{kind}"), i), F.get(F.col(f"_values{kind}"), i)
-        end = start + F.length(found)
+    def span(end: Column, match: Column, secret: Column) -> Column:
         chars = F.array_size(F.array_distinct(F.split(secret, "")))
-        made = F.struct(
-            start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"),
+        return F.struct(
+            (end - F.length(match)).alias("start"), end.alias("end"), F.lit(kind).alias("kind"),
             (end - F.length(secret)).alias("value_start"), F.unhex(F.sha2(secret, 256)).alias("value_hash"),
             ((F.length(secret) >= LIVE_CHARS) & (chars >= LIVE_DISTINCT)).alias("strong"))
-        spans = F.when(F.length(secret) >= least, F.concat(state["spans"], F.array(made))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    located = F.aggregate(F.sequence(F.lit(0), F.size(F.col(f"_whole{kind}")) - 1), start, span, lambda s: s["spans"])
-    return whole, values, pieces, F.when(F.size(F.col(f"_whole{kind}")) > 0, located).otherwise(empty)
+    located = _let(_running_sums(steps), lambda ends: F.transform(
+        indexes, lambda i: span(F.get(ends, i), F.get(found, i), F.get(secrets, i))))
+    long_enough = F.filter(located, lambda s: s["end"] - s["value_start"] >= least)
+    return whole, values, pieces, F.when(F.size(found) > 0, long_enough).otherwise(empty)
 
 
 def _joined(spans: Column, names: Column) -> Column:
@@ -128,9 +155,10 @@ def scan_secrets(
     rows = found.join(by_row, "row", "left").withColumn(
         "secrets", _by_place(F.coalesce("secrets", F.array().cast(by_row.schema["secrets"].dataType))))
     names = F.array(*map(F.lit, (*KINDS, "live")))
-    live = F.array_distinct(F.transform(
+    live = _let(F.array_sort(F.transform(  # a value under several kinds is one span; equal ones are neighbours
         F.filter("secrets", lambda s: s["class"] == "live"),
-        lambda s: F.struct(s["value_start"].alias("start"), s["end"].alias("end"), F.lit(3).alias("kind"))))
+        lambda s: F.struct(s["value_start"].alias("start"), s["end"].alias("end"), F.lit(3).alias("kind")))),
+        lambda spans: F.filter(spans, lambda span, i: (i == 0) | (F.get(spans, i - 1) != span)))
     base = F.transform("secrets", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
 
     def count(of: int) -> Column:

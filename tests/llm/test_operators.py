@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -156,6 +157,19 @@ def test_secrets(docs):
     assert Counter(tuple(r)[:5] for r in scan_secrets(docs).collect()) == expected
 
 
+def test_secrets_of_a_text_that_is_all_matches(spark):
+    text = " ".join(f"token=qwerty{i:012d} {i:024x} AKIA{i:020d}" for i in range(20_000))
+    kinds = {"assign": r"token=[A-Za-z0-9]+", "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]{24,}"}
+    expected = sorted((m.start(), m.end(), k) for k, p in kinds.items() for m in re.finditer(p, text))
+    begin = time.time()
+    [row] = scan_secrets(spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")).collect()
+    assert time.time() - begin < 60  # a square of the matches takes minutes
+    found = [span.split(":") for span in row.spans.split(",")]
+    assert sorted((int(s), int(e), k) for k, s, e in found if k != "live") == expected
+    live = [(int(s), int(e)) for k, s, e in found if k == "live"]
+    assert len(live) == len(set(live)) == row.n_live > 0
+
+
 def test_secrets_by_owner(spark):
     shared, own = "token = Zx81kQpLm27RtYv0", "token = Qw93mNbVc48HgTy5"
     rows = [(i, shared, f"o{i}", 1) for i in range(3)] + [(9, f"{own} {own}", "o9", 1), (10, "token = aaaaaaaaaaaaaaaaaaaa", "o", 1)]
