@@ -79,6 +79,11 @@ def pair_list(tables: Tables) -> DataFrame:
     return first.join(second, "n_regionkey").select("origin", "dest")
 
 
+def one_word(rows: DataFrame, *names: str) -> DataFrame:
+    """``rows`` with the airport names in these columns written without spaces, as parameter files need them."""
+    return rows.withColumns({name: F.translate(name, " ", "_") for name in names})
+
+
 def trip_requests(tables: Tables) -> DataFrame:
     """One request per flight: its route and date, then on to the airport that the part's number names."""
     lines = tables.lineitem.select(

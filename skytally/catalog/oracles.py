@@ -205,6 +205,13 @@ SERVED_AIRPORTS = f"""WITH {POPULARITY}
 LAST_EVENTS = """SELECT user_id, event_type, event_id, value FROM events
      QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1"""
 FOUND_TRIPS = f"WITH {TRIPS} SELECT * FROM found"
+ONE_WORD = lambda *names: ", ".join(f"replace({name}, ' ', '_') AS {name}" for name in names)
+SERVED_FROM = f"""WITH {FROM_ORIGIN}, {AIRPORTS},
+ served AS (SELECT origin, airline_id AS from_airline, perf,
+  row_number() OVER (ORDER BY perf DESC, origin, airline_id DESC) - 1 AS id FROM ranked WHERE rank <= 10)"""
+SERVED_BETWEEN = f"""WITH {BETWEEN}, {PAIRS},
+ served AS (SELECT origin, dest, airline_id AS airline, perf,
+  row_number() OVER (ORDER BY perf DESC, origin, dest, airline_id DESC) - 1 AS id FROM ranked WHERE rank <= 10)"""
 
 ORACLES: dict[str, str] = {
     "airport_popularity": f"WITH {POPULARITY} SELECT * FROM popularity",
@@ -248,6 +255,18 @@ ORACLES: dict[str, str] = {
     "clean_project": f"WITH {FLIGHTS} {FULL_FLIGHT}",
     "src_double_colon": "SELECT p_partkey AS movie_id, p_name || ', again' AS title, p_type AS genres FROM part",
 
+    "params_key_list": TOP_FROM,
+    "params_pair_list": f"""WITH {DELAYS}, {PAIRS} SELECT {ONE_WORD("origin", "dest")}, mean_delay
+     FROM delays JOIN pairs USING (origin, dest)""",
+    "params_trip_requests": f"""WITH {TRIPS} SELECT * REPLACE ({ONE_WORD("origin1", "dest1", "origin2", "dest2")}) FROM found""",
+    "src_ratings": """SELECT o_custkey AS user_id, l_partkey AS movie_id, 1 + CAST(l_quantity AS INT) % 5 AS rating
+     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+     QUALIFY row_number() OVER (PARTITION BY o_custkey, l_partkey ORDER BY CAST(l_shipdate AS DATE) DESC, rating DESC) = 1""",
+    "src_labeled_points": """SELECT CAST(p_size AS DOUBLE) AS x1, CAST(p_retailprice AS DOUBLE) AS x2,
+     CAST(p_size > 25 AS DOUBLE) AS label FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)""",
+    "src_titled_points": """SELECT p_name || ', again' AS title, CAST(p_size AS DOUBLE) AS x1,
+     CAST(p_retailprice AS DOUBLE) AS x2 FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)""",
+
     "snk_tsv_roundtrip": f"WITH {POPULARITY} SELECT * FROM popularity",
     "serving_top_airports": SERVED_AIRPORTS,
     "serving_perf_days": f"SELECT *, 0 AS grp FROM ({RANKED_DAYS})",
@@ -261,6 +280,8 @@ ORACLES: dict[str, str] = {
     "serving_zipf": f"""WITH {POPULARITY} SELECT *,
      row_number() OVER (ORDER BY popularity DESC, airport DESC) - 1 AS id, 0 AS grp FROM popularity""",
     "serving_select_topairports": SERVED_AIRPORTS,
+    "serving_read_topfromx": f"{SERVED_FROM} SELECT * FROM served WHERE origin IN (SELECT origin FROM airports)",
+    "serving_read_topxy": f"{SERVED_BETWEEN} SELECT served.* FROM served JOIN pairs USING (origin, dest)",
     "load_whitespace_table": f"""WITH {FLIGHTS} SELECT CAST(flight_date AS VARCHAR) AS date1, origin AS origin1,
      dest AS destination1, CAST(arr_time AS VARCHAR) AS arr_time1, flight_id AS flight_id1 FROM flights""",
     "load_table_last_write": """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(event_id AS VARCHAR) AS event_id
@@ -349,6 +370,19 @@ ORACLES: dict[str, str] = {
      SELECT movie_id, CAST(row_number() OVER (PARTITION BY movie_id ORDER BY score DESC, other_id) AS INT) AS rank, other_id, score
      FROM scored QUALIFY rank <= 5""",
 
+    "sql_tokenize_sentence": f"""SELECT doc_id, array_to_string(list_filter({SENTENCE_SPLIT}, lambda w: w <> ''), ' ')
+     AS words FROM documents""",
+    "sql_ring_position": f"WITH {RING} SELECT key, pos FROM ring_keys",
+    "sql_similarity": f"""WITH {RATINGS},
+     users AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS i FROM (SELECT DISTINCT user_id FROM ratings)),
+     placed AS (SELECT *, i // 512 AS block FROM ratings JOIN users USING (user_id)
+      WHERE movie_id IN (SELECT p_partkey FROM part)),
+     source AS (SELECT user_id, rating AS s FROM placed WHERE movie_id = 1),
+     norms AS (SELECT block, sqrt(CAST(sum(rating * rating) AS BIGINT)) AS norm FROM placed WHERE movie_id = 1 GROUP BY block)
+     SELECT movie_id, block, round(CAST(sum(rating * coalesce(s, 0)) AS BIGINT)
+      / (sqrt(CAST(sum(rating * rating) AS BIGINT)) * any_value(norm)), 9) AS score
+     FROM placed JOIN norms USING (block) LEFT JOIN source USING (user_id) GROUP BY movie_id, block""",
+
     "stream_top_airports": TOP_AIRPORTS,
     "stream_ontime_weekday": RANKED_DAYS,
     "stream_top_airlines_from_x": TOP_FROM,

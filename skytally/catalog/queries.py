@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skytally.catalog import inputs
 from skytally.catalog.inputs import Tables
 from skytally.functions import text as text_functions
+from skytally.functions.sql import register_functions
 from skytally.operators import (
     changelog, flights as fl, graph, learn, links as lk, membership, recommend, replicas, sensors, serving, similar, trips,
     words,
@@ -19,7 +20,7 @@ from skytally.plans.ranking import rank_below
 from skytally.schemas import CLEAN_COLUMNS, FLIGHT_COLUMNS
 from skytally.sinks import tables as sink
 from skytally.sinks.stored import KeyedTable, cell_table, read_wide_table, write_wide_table
-from skytally.sources import flights as flight_files, judged, text as text_files, wide
+from skytally.sources import flights as flight_files, judged, params, text as text_files, wide
 from skytally.sources.streams import stream_source
 from skytally.streaming import jobs, live
 from skytally.streaming.progress import run_logged
@@ -208,6 +209,69 @@ def src_double_colon(t: Tables) -> DataFrame:
     return text_files.read_movies(t.spark, path)
 
 
+@query
+def params_key_list(t: Tables) -> DataFrame:
+    """Best airlines of the airports in a file, in which some lines are blank and all are padded and repeated."""
+    path = scratch_path(t.spark, "airports")
+    airports = inputs.airport_list(t)
+    lines = airports.select(F.explode(F.array(F.concat(F.lit("  "), "origin", F.lit(" ")), "origin", F.lit(" "))).alias("value"))
+    lines.write.text(path)
+    rates = fl.on_time_by_origin_airline(
+        inputs.flights(t, ["origin", "airline_id", "dep_delayed"]), params.read_key_list(t.spark, path))
+    return fl.top_airlines_from(rates)
+
+
+@query
+def params_pair_list(t: Tables) -> DataFrame:
+    """Mean delays of the pairs in a file, in which some lines are one field short and some are repeated."""
+    path = scratch_path(t.spark, "pairs")
+    pairs = inputs.one_word(inputs.pair_list(t), "origin", "dest")
+    lines = pairs.select(F.explode(F.array(
+        F.concat_ws("\t ", "origin", "dest"), F.concat_ws(" ", "origin", "dest", F.lit("more")), "dest")).alias("value"))
+    lines.write.text(path)
+    flights = inputs.one_word(inputs.flights(t, ["origin", "dest", "arr_delay_minutes"]), "origin", "dest")
+    return fl.mean_delay(restrict_to(flights, params.read_pair_list(t.spark, path), ["origin", "dest"]))
+
+
+@query
+def params_trip_requests(t: Tables) -> DataFrame:
+    """Best trips of the requests in a file, which also has lines that are cut short or whose date is none."""
+    path = scratch_path(t.spark, "requests")
+    requests = inputs.one_word(inputs.trip_requests(t), "x", "y", "z")
+    lines = requests.select(F.explode(F.array(
+        F.concat_ws(" ", "x", "y", "z", "date1"), F.concat_ws(" ", "x", "y", "z"),
+        F.concat_ws(" ", "z", "y", "x", F.lit("never")))).alias("value"))
+    lines.write.text(path)
+    flights = inputs.one_word(inputs.flights(t, TRIP_FIELDS), "origin", "dest")
+    return trips.find_trips(flights, params.read_trip_requests(t.spark, path), few=False)
+
+
+@query
+def src_ratings(t: Tables) -> DataFrame:
+    """Last ratings of a ``::`` file; of ratings of one day the highest counts."""
+    path = scratch_path(t.spark, "ratings")
+    day = F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date"))
+    raw = inputs.raw_ratings(t).select(F.concat_ws("::", "user_id", "movie_id", "rating", day).alias("value"))
+    raw.write.text(path)
+    ratings = text_files.read_ratings(t.spark, path)
+    return recommend.latest_ratings(ratings, "rated_at", "rating")
+
+
+@query
+def src_labeled_points(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "labeled")
+    inputs.part_features(t).select("size", "price", "label").write.csv(path)
+    return text_files.read_labeled_points(t.spark, path, 2)
+
+
+@query
+def src_titled_points(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "titled")
+    title = F.concat("title", F.lit(", again")).alias("title")
+    inputs.part_features(t).select(title, "size", "price").write.option("quoteAll", True).csv(path)
+    return text_files.read_titled_points(t.spark, path, 2)
+
+
 # --- sinks and serving tables -----------------------------------------------------------------------------------------
 
 @query
@@ -264,6 +328,24 @@ def serving_select_topairports(t: Tables) -> DataFrame:
     return sink.read_serving_table(t.spark, path).select("airport", "popularity", "id", "grp")
 
 
+@query
+def serving_read_topfromx(t: Tables) -> DataFrame:
+    """The airlines of the listed airports, out of a table stored by origin."""
+    path = scratch_path(t.spark, "topfromx")
+    table = serving_topfromx(t)
+    sink.write_serving_table(table, path, ["origin"])
+    return sink.read_serving_keys(t.spark, path, inputs.airport_list(t), table.schema)
+
+
+@query
+def serving_read_topxy(t: Tables) -> DataFrame:
+    """The airlines of the listed pairs, out of a table stored by origin and destination."""
+    path = scratch_path(t.spark, "topxy")
+    table = serving_topxy(t)
+    sink.write_serving_table(table, path, ["origin", "dest"])
+    return sink.read_serving_keys(t.spark, path, inputs.pair_list(t), table.schema)
+
+
 @query
 def load_whitespace_table(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "results")
@@ -531,6 +613,47 @@ def random_forest_predict(t: Tables) -> DataFrame:
     return learn.classify(learn.fit_forest(points), points, "part", *FEATURES)
 
 
+@query
+def random_forest_files(t: Tables) -> DataFrame:
+    """Even parts by a forest grown on odd ones, both out of point files, as written to result files."""
+    root = scratch_path(t.spark, "forest")
+    points = inputs.part_features(t).select(*FEATURES, "label", (F.col("part") % 2).alias("fold"))
+    points.write.partitionBy("fold").csv(root)
+    train, test = (
+        learn.assemble(text_files.read_labeled_points(t.spark, f"{root}/fold={fold}", len(FEATURES)), ["x1", "x2", "x3", "x4"])
+        for fold in (1, 0))
+    results = f"{root}/results"
+    sink.write_results(learn.classify(learn.fit_forest(durable(train)), test, "label", "x1", "x2", "x3", "x4"), results)
+    return t.spark.read.parquet(results)
+
+
+# --- SQL functions ----------------------------------------------------------------------------------------------------
+
+@query
+def sql_tokenize_sentence(t: Tables) -> DataFrame:
+    register_functions(t.spark)
+    return t.spark.sql(
+        "SELECT doc_id, array_join(tokenize_sentence(text), ' ') AS words FROM {documents}", documents=t.documents)
+
+
+@query
+def sql_ring_position(t: Tables) -> DataFrame:
+    register_functions(t.spark)
+    return t.spark.sql(
+        "SELECT key, ring_position(CAST(key AS STRING)) AS pos FROM {keys}", keys=inputs.ring_keys(t))
+
+
+@query
+def sql_similarity(t: Tables) -> DataFrame:
+    """Similarity of each movie with one movie, within every block of users that rated both."""
+    register_functions(t.spark)
+    vectors = recommend.movie_rating_vectors(durable(inputs.ratings(t)), inputs.movies(t), block=512)
+    return t.spark.sql(
+        "SELECT v.movie_id, v.block, round(calculate_similarity(s.user_rates, v.user_rates), 9) AS score "
+        "FROM {vectors} v JOIN {source} s ON v.block = s.block",
+        vectors=vectors, source=vectors.where(F.col("movie_id") == SOURCE_MOVIE))
+
+
 # --- streams ----------------------------------------------------------------------------------------------------------
 
 def _flight_stream(t: Tables, fields: list[str]) -> DataFrame:

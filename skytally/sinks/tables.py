@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skytally.functions.text import split_whitespace, strip_character
+from skytally.plans.joins import restrict_to
 from skytally.schemas import all_text
 
 
@@ -19,15 +20,35 @@ def read_tsv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_serving_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a serving table. With ``partition_by``, every task writes a file for each partition value that it holds."""
-    writer = df.write.mode("overwrite")
+    """Replace a serving table. With ``partition_by``, every partition value has a folder of its own.
+
+    The rows of a value meet in one task, so that its folder holds one file. AQE splits the value over several tasks
+    where it exceeds the advisory size, and puts small values together.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+
 
+def read_serving_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """A serving table. ``schema`` states the types of partition keys, which folder names do not tell."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
-def read_serving_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+
+def read_serving_keys(spark: SparkSession, path: str, keys: DataFrame, schema=None) -> DataFrame:
+    """The rows of a serving table whose partition key is in ``keys``; folders of other keys are not read.
+
+    Folders outside the keys' range are left out when the query is planned. Those between are left out when it runs,
+    by the keys that were broadcast: the planner does so only where it expects the keys to be few, and takes the range
+    for a sign of that.
+    """
+    rows = read_serving_table(spark, path, schema)
+    ends = keys.agg(*[end(name).alias(f"{end.__name__} {name}") for name in keys.columns for end in (F.min, F.max)]).first()
+    for name in keys.columns:
+        rows = rows.where(F.col(name).between(F.lit(ends[f"min {name}"]), F.lit(ends[f"max {name}"])))
+    return restrict_to(rows, keys, keys.columns)
 
 
 def write_results(df: DataFrame, path: str, fmt: str = "parquet") -> None:

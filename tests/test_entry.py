@@ -6,7 +6,7 @@ from check import rows_of
 from skytally.catalog.queries import QUERIES
 from tests.conftest import TABLES
 
-WITHOUT_SQL = {"kmeans_clusters", "kmeans_members", "random_forest_predict"}
+WITHOUT_SQL = {"kmeans_clusters", "kmeans_members", "random_forest_files", "random_forest_predict"}
 
 
 def test_contract(spark):
