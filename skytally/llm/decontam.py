@@ -80,19 +80,28 @@ def contaminated_words(
     if not sizes:
         return _result(rows.select("doc_id", key, "n_words"), None)
     offsets = durable(reduce(DataFrame.unionByName, offsets))
-    wanted = _bounded(durable(offsets.select("shingle").distinct()), 64)
+    wanted = durable(offsets.select("shingle").distinct())
+    small = wanted.count() * 64 <= BROADCAST_BYTES
+
+    def around(found: DataFrame) -> DataFrame:
+        """The words around an occurrence, as far as any window over it can reach."""
+        reach = F.slice("w", F.greatest(F.col("at") - window + 2, F.lit(1)), 2 * window)
+        return found.select(
+            "doc_id", "text_key", "n_words", "shingle", "at",
+            F.greatest(F.col("at") - window + 1, F.lit(0)).alias("from"), reach.alias("around"))
 
     found = []
     for n in sizes:
         at = rows.select(
             "doc_id", key, "n_words", "w", F.posexplode(_shingles(F.col("w"), n)).alias("at", "shingle"),
         ).withColumn("shingle", F.xxhash64(F.lit(n), "shingle"))
-        # the words around an occurrence, as far as any window over it can reach
-        reach = F.slice("w", F.greatest(F.col("at") - window + 2, F.lit(1)), 2 * window)
-        found.append(at.join(wanted, "shingle").select(
-            "doc_id", "text_key", "n_words", "shingle", "at",
-            F.greatest(F.col("at") - window + 1, F.lit(0)).alias("from"), reach.alias("around")))
+        # a shuffled shingle leaves its text's words behind
+        found.append(around(at.join(F.broadcast(wanted), "shingle")) if small else at.drop("w").join(wanted, "shingle"))
     found = durable(reduce(DataFrame.unionByName, found))
+    if not small:
+        texts_of = rows.select(F.col("doc_id").alias("_d"), key.alias("_t"), "w").dropDuplicates(["_d", "_t"])
+        found = durable(around(found.join(
+            texts_of, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t")))))
 
     frequency = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     rarest = Window.partitionBy("window_id").orderBy("n", "shingle", "offset")
@@ -152,3 +161,25 @@ def clean_documents(
     bad = _bounded(durable(rated.where("contaminated").select(F.col("text_key").alias(key)).distinct()), 64)
     rows = documents.withColumn(key, F.xxhash64(words()))
     return rows.join(bad, key, "left_anti").select(*documents.columns)
+
+
+def decontamination_sql(window: int = WINDOW) -> str:
+    """DuckDB SQL for the rows of :func:`contaminated_words` over ``documents`` and ``benchmark``, by plain windows."""
+    of_text = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+               r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return f"""
+    WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {of_text} AS w FROM benchmark),
+    cut AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - {window - 1}, 1) + 1)) AS i FROM items WHERE len(w) > 0),
+    windows AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + {window - 1}), ' ') AS words,
+     least(len(w), {window}) AS n FROM cut),
+    docs AS (SELECT doc_id, {of_text} AS w FROM documents),
+    starts AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows)),
+    places AS (SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS words FROM starts),
+    hits AS (SELECT DISTINCT doc_id, i, places.n, item_id FROM places JOIN windows USING (words)),
+    covered AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+     FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id),
+    found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+     FROM hits GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""

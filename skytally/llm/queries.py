@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skytally.llm.byte_dedup import remove_repeated_bytes
 from skytally.llm.collocations import collocations, collocations_sql
-from skytally.llm.decontam import contaminated_words
+from skytally.llm.decontam import contaminated_words, decontamination_sql
 from skytally.llm.mixing import mix_sources, mixing_sql
 from skytally.llm.near import jaccard_groups
 from skytally.llm.quality import score_quality, train_quality
 from skytally.llm.resampling import resample, resampling_sql
 from skytally.llm.rules import quality_rules
-from skytally.llm.secrets import scan_secrets
+from skytally.llm.secrets import scan_secrets, secrets_sql
 from skytally.llm.substrings import remove_repeated_windows
 from skytally.llm.token_counts import count_tokens, recount_edited
 from skytally.llm.token_files import read_token_pages, write_token_pages
@@ -115,6 +115,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op11_suffix_array_dedup, op12_importance_resampling, op13_phrase_collocations)}
 
 ORACLES: dict[str, str] = {
+    "op2_secret_scan": secrets_sql(),
+    "op8_benchmark_decontamination": decontamination_sql(),
     "op9_mix_sources": mixing_sql(),
     "op12_importance_resampling": resampling_sql(),
     "op13_phrase_collocations": collocations_sql(),

@@ -171,3 +171,38 @@ def scan_secrets(
         F.size(live).cast("long").alias("n_live"),
         F.size(F.filter("secrets", lambda s: s["class"] == "copied")).cast("long").alias("n_copied"),
         "secrets")
+
+
+def secrets_sql(copied_owners: int = COPIED_OWNERS, copied_repositories: int = COPIED_REPOSITORIES) -> str:
+    """DuckDB SQL for the rows of :func:`scan_secrets` over ``documents``, without the column ``secrets``."""
+    any_case = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+                        for word in ("password", "passwd", "secret", "token", "api_?key"))
+    assign = f"({any_case})" + _ASSIGN[_ASSIGN.index("))") + 2:]
+
+    def matches(kind: int, pattern: str, group: int) -> str:
+        quoted = "'" + pattern.replace("'", "''") + "'"
+        return f"""SELECT doc_id, text, source, {kind} AS kind, unnest(range(len(regexp_extract_all(text, {quoted})))) AS i,
+         unnest(regexp_extract_all(text, {quoted})) AS whole, unnest(regexp_extract_all(text, {quoted}, {group})) AS value,
+         unnest(string_split_regex(text, {quoted})) AS piece FROM docs"""
+
+    return f"""
+    WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS source FROM documents),
+    matches AS ({matches(0, assign, 2)} UNION ALL {matches(1, _ACCESS, 0)} UNION ALL {matches(2, _HEX, 0)}),
+    ended AS (SELECT *, CAST(sum(length(piece) + length(whole)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS stop
+     FROM matches WHERE whole IS NOT NULL),
+    base AS (SELECT *, stop - length(whole) AS start FROM ended
+     WHERE length(value) >= CASE kind WHEN 0 THEN {_LEAST_ASSIGN} WHEN 1 THEN {_LEAST_ACCESS} ELSE 0 END),
+    spread AS (SELECT value, count(DISTINCT source) >= {copied_owners} OR count(DISTINCT text) >= {copied_repositories} AS copied
+     FROM base GROUP BY value),
+    rated AS (SELECT base.*, copied, NOT copied AND length(value) >= {LIVE_CHARS}
+      AND len(list_distinct(string_split(value, ''))) >= {LIVE_DISTINCT} AS live FROM base JOIN spread USING (value)),
+    spans AS (SELECT doc_id, kind, start, stop, copied FROM rated
+     UNION ALL SELECT DISTINCT doc_id, 3, stop - length(value), stop, false FROM rated WHERE live),
+    named AS (SELECT *, ['{"', '".join((*KINDS, "live"))}'][kind + 1] || ':' || start || ':' || stop AS name FROM spans),
+    per_doc AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+      count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (kind = 3) AS n_live, count(*) FILTER (copied) AS n_copied,
+      string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(name, ',' ORDER BY start, kind, stop) AS spans
+     FROM named GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+     coalesce(n_copied, 0) AS n_copied FROM docs LEFT JOIN per_doc USING (doc_id)"""

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skytally.llm import token_files as tf
+from skytally.llm import decontam, token_files as tf
 from skytally.llm.decontam import clean_documents, contaminated_words
 from skytally.llm.encoding import END_ID, PATH, Encoder, encoder
 from skytally.llm.labelled import fold
@@ -210,7 +210,9 @@ def plain_contamination(rows, items):
     return out
 
 
-def test_contamination(spark, docs):
+@pytest.mark.parametrize("broadcast", [decontam.BROADCAST_BYTES, 0])
+def test_contamination(spark, docs, monkeypatch, broadcast):
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", broadcast)
     passage = fixture_rows()[7][1]
     items = [(1, passage), (2, "Two, WORDS!"), (3, None), (4, "..."), (5, "one"), (10, " ".join(passage.split()[5:20])),
              (None, "same same same same same same same same same same same"), (5, "one"), (6, "edit nowhere to be found")]
