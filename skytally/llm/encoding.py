@@ -25,7 +25,7 @@ END_ID = 2
 _SPACE = "\u0120"  # fixed value: how a byte-level vocabulary writes the space byte
 _MARKS = ".,;:!?#*$%&|<>"  # marks that never share a pre-token with letters before them
 _JOINED = 2_000  # new chunks encoded as one text
-_REMEMBERED = 400_000  # pieces of each kind in a generation of which two are kept
+REMEMBERED = 400_000  # pieces of each kind in a generation of which two are kept
 PRE_TOKEN = regex.compile(public_tokenizers.PATTERN)
 # A text may be cut at each single space, unless white space stands on both sides of one.
 _UNSAFE = re.compile(r"\s \s|\s $")
@@ -34,13 +34,14 @@ _UNSAFE = re.compile(r"\s \s|\s $")
 class Remembered:
     """A bounded memory of the pieces met lately: when one generation is full, the one before it goes."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int) -> None:
+        self.most = most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def turn(self) -> None:
         """Start a new generation if the young one is full. Pieces met before may then be unknown."""
-        if len(self.young) > _REMEMBERED:
+        if len(self.young) > self.most:
             self.young, self.old = {}, self.young
 
     def unknown(self, pieces: set[str]) -> list[str]:
@@ -58,11 +59,11 @@ class Remembered:
 class Encoder:
     """The library's ids (``add_special_tokens=False``) as unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.of_pre_token = Remembered()
-        self.of_chunk = Remembered()
+        self.of_pre_token = Remembered(remembered)
+        self.of_chunk = Remembered(remembered)
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens whose first byte is a space
         self.spaced[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
@@ -134,6 +135,6 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=1)
-def encoder(path: str = PATH) -> Encoder:
+def encoder(path: str = PATH, remembered: int = REMEMBERED) -> Encoder:
     """One encoder per Python worker."""
-    return Encoder(path)
+    return Encoder(path, remembered)

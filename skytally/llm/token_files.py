@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from skytally.llm.encoding import END_ID, PATH, encoder
+from skytally.llm.encoding import END_ID, PATH, REMEMBERED, encoder
 
 # Fixed values of the code: values per word and bits per value of each selector (the upper four bits of a word).
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -174,7 +174,9 @@ def _give_back() -> None:
         trim(0)
 
 
-def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, end_id: int = END_ID) -> None:
+def write_token_pages(
+    documents: DataFrame, path: str, tokenizer: str = PATH, end_id: int = END_ID, remembered: int = REMEMBERED,
+) -> None:
     """Encode whole texts and write them to ``path`` as pages in ascending document order.
 
     Documents are dealt by ranges of ``doc_id`` and the hash of the text, so that equal and null ids are spread too, and
@@ -182,6 +184,8 @@ def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, en
     (shard, page, n_ids, payload); Parquet only carries the pages, so any store that Spark writes to will do. A null
     text has no ids but the end id; null ids come last, equal ids in the order of the hashes of their texts, then of the
     texts. Columns other than ``doc_id`` and ``text`` are ignored; an empty table gives no pages.
+
+    ``remembered`` bounds the pieces of text whose ids a worker keeps in memory; pieces beyond it are encoded again.
     """
     order = (F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc(), F.col("text").asc_nulls_first())
 
@@ -201,7 +205,7 @@ def write_token_pages(documents: DataFrame, path: str, tokenizer: str = PATH, en
             names = batch["doc_id"].to_pylist()
             for begin in range(0, len(names), TEXTS_AT_ONCE):
                 texts = [t or "" for t in batch["text"].slice(begin, TEXTS_AT_ONCE).to_pylist()]
-                for name, ids in zip(names[begin:], encoder(tokenizer).encode(texts)):
+                for name, ids in zip(names[begin:], encoder(tokenizer, remembered).encode(texts)):
                     docs.append((name, np.frombuffer(ids + end, "<u4")))
                     held += len(docs[-1][1])
                     if held >= PAGE_IDS:

@@ -321,9 +321,10 @@ def test_encoder_on_odd_joints():
     assert [np.frombuffer(coder.encode([t])[0], np.uint32).tolist() for t in texts[:300]] == expected[:300]
 
 
-def test_token_pages(spark, docs, monkeypatch):
+@pytest.mark.parametrize("remembered", [400_000, 5])
+def test_token_pages(spark, docs, remembered):
     path = scratch_path(spark, "pages")
-    tf.write_token_pages(docs, path)
+    tf.write_token_pages(docs, path, remembered=remembered)
     rows = sorted(((r[0], r[1] or "") for r in fixture_rows()), key=lambda r: (r[0] is None, r[0] or 0))
     start, expected = 0, []
     for d, t in rows:
