@@ -13,6 +13,11 @@ from skytally.llm.token_files import read_token_pages, write_token_pages
 from skytally.plans.durable import scratch_path
 
 
+# Pieces of text whose ids a worker of the token stage keeps: fewer than in a session that only encodes, since the
+# memory of an executor that ran the other stages is already in use.
+REMEMBERED = 100_000
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that are more likely poor than not, by the ordinal model."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -37,7 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_file(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the mix as a token file, and return what it holds of each document."""
     path = scratch_path(spark, "token_pages")
-    write_token_pages(docs, path)
+    write_token_pages(docs, path, remembered=REMEMBERED)
     return read_token_pages(spark, path)
 
 
