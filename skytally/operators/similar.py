@@ -3,7 +3,10 @@
 All pairs of movies that share a rater would be as many rows as the sum of the squares of all users' ratings. Here
 users are ordered by how many movies they rated, in levels of powers of two, rarest first:
 
-* Users of at most ``light`` ratings are joined outright: at most ``light`` rows for each rating.
+* Users of at most ``light`` ratings are joined outright: at most ``light`` sums for each rating. Movies are cut into
+  blocks, ranges of ids; every block gets the vectors of the users that rated something in it, sums its pairs up there,
+  movie by movie, and hands on only those that can still be among the best: the sums of all pairs are never stored.
+  A movie whose raters' vectors alone fill a block is joined row by row.
 * What they find, and the largest weights of the heavy users, bound the k-th best score of each movie from below.
 * A movie looks through heavy users, rarest first, only as long as the norm of its weights on the others could reach
   that bound (by Cauchy and Schwarz the rest of any pair is no more than the product of both rests).
@@ -12,39 +15,45 @@ users are ordered by how many movies they rated, in levels of powers of two, rar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
 
-from skytally.plans.durable import durable
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
+
+from skytally.plans.durable import stored
 from skytally.plans.joins import lookup_join
 from skytally.plans.ranking import top_k_per_group
 
-LIGHT = 64
+LIGHT = 512
+PER_BLOCK = 4_000_000  # entries of light users' vectors that the movies of a block ask for
+AT_ONCE = 1_000_000  # of them summed up together, or those of one movie
 LEVELS = 64  # the level of a user is the number of bits of its count of ratings
 ROWS_PER_CHUNK = 4096  # of one heavy user's ratings that meet in a join key
 SLACK = 2e-9  # bounds are compared with this much room, more than rounding of sums and of the result
 
 
-def _weighted(ratings: DataFrame) -> DataFrame:
-    """``(user_id, movie_id, rating, degree, level, squares, weight)`` of the users with several ratings.
+def _weighted(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(user_id, movie_id, rating, degree, level, squares, weight)`` of the users with several ratings; norms.
 
     The weight is the rating by the norm of all ratings of the movie. A user of one rating joins no two movies.
     """
-    own = ratings.where("rating > 0").select("user_id", "movie_id", F.col("rating").cast("bigint").alias("rating"))
-    norms = own.groupBy("movie_id").agg(F.sum(F.col("rating") * F.col("rating")).alias("squares"))
+    own = stored(ratings.where("rating > 0").select("user_id", "movie_id", F.col("rating").cast("bigint").alias("rating")))
+    norms = stored(own.groupBy("movie_id").agg(F.sum(F.col("rating") * F.col("rating")).alias("squares")))
     degrees = own.groupBy("user_id").agg(F.count(F.lit(1)).alias("degree")).where("degree > 1")
-    rows = lookup_join(lookup_join(own, degrees, "user_id"), norms, "movie_id")
-    return durable(rows.withColumns({
-        "level": F.length(F.bin("degree")), "weight": F.col("rating") / F.sqrt("squares")}))
+    total = own.count()
+    rows = stored(lookup_join(lookup_join(own, degrees, "user_id", total), norms, "movie_id", total))
+    return rows.withColumns({
+        "level": F.length(F.bin("degree")), "weight": F.col("rating") / F.sqrt("squares")}), norms
 
 
-def _rests(rows: DataFrame, light: int) -> DataFrame:
-    """``(movie_id, squares, rests)``: for each level, the squared norm of the weights on heavy users of higher levels."""
-    square = F.when(F.col("degree") > light, F.col("weight") * F.col("weight")).otherwise(0.0)
-    parts = rows.groupBy("movie_id", "squares", "level").agg(F.sum(square).alias("part"))
-    held = parts.groupBy("movie_id", "squares").agg(F.collect_list(F.struct("level", "part")).alias("_parts"))  # LEVELS at most
+def _rests(heavy: DataFrame) -> DataFrame:
+    """``(movie_id, rests)``: for each level, the squared norm of the weights on heavy users of higher levels."""
+    parts = heavy.groupBy("movie_id", "level").agg(F.sum(F.col("weight") * F.col("weight")).alias("part"))
+    held = parts.groupBy("movie_id").agg(F.collect_list(F.struct("level", "part")).alias("_parts"))  # LEVELS at most
     above = lambda level: F.aggregate(
         F.filter("_parts", lambda p: p["level"] > level), F.lit(0.0), lambda total, p: total + p["part"])
-    return held.select("movie_id", "squares", F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), above).alias("rests"))
+    return held.select("movie_id", F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), above).alias("rests"))
 
 
 def _pair_sums(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -67,15 +76,166 @@ def _bounds(near: DataFrame, heavy: DataFrame, k: int) -> DataFrame:
     return found.unionByName(reached).groupBy("movie_id").agg((F.max("part") - SLACK).alias("bound"))
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Values from 0 in the fewest bytes each, behind that number."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
+
+def _unpacked(texts: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.frombuffer(t, f"u{t[0]}", offset=1).astype(np.int64) for t in texts.to_pylist()])
+
+
+_ROUTED = "block int, sizes binary, firsts binary, steps binary, ratings binary, squares binary, held binary"
+
+
+def _spread(index: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The positions of the entries of the listed vectors, one after the other."""
+    chosen = sizes[index]
+    return np.repeat(starts[index] - (np.cumsum(chosen) - chosen), chosen) + np.arange(chosen.sum())
+
+
+def _route(lows: np.ndarray, apart: np.ndarray):
+    """Send each vector to the blocks of its movies, those of a batch and block in one row.
+
+    ``lows`` are the blocks' smallest movie ids, ``apart`` the movies that are in no block.
+    """
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            entries = batch["entries"].flatten()
+            ids, ratings, squares, held = (entries.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            sizes = batch["entries"].value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            starts = np.cumsum(sizes) - sizes
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            asks = ~np.isin(ids, apart)
+            blocks, users = np.searchsorted(lows, ids[asks], "right") - 1, owner[asks]
+            new = np.ones(len(users), bool)  # a vector is in order of its movies
+            new[1:] = (blocks[1:] != blocks[:-1]) | (users[1:] != users[:-1])
+            blocks, users = blocks[new], users[new]
+            order = np.argsort(blocks, kind="stable")
+            blocks, users = blocks[order], users[order]
+            steps = np.diff(ids, prepend=ids[:1])
+            steps[starts] = 0
+            ends = np.flatnonzero(np.diff(blocks, append=-1)) + 1
+            out: list[tuple] = []
+            for begin, end in zip(np.r_[0, ends[:-1]], ends):
+                mine = users[begin:end]
+                at = _spread(mine, sizes, starts)
+                out.append((int(blocks[begin]), _packed(sizes[mine]), ids[starts[mine]].tobytes(), _packed(steps[at]),
+                            _packed(ratings[at]), _packed(squares[at]), held[at].tobytes() if held.any() else b""))
+            names = [field.split()[0] for field in _ROUTED.split(", ")]
+            columns = list(zip(*out)) if out else [()] * len(names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=names)
+    return route
+
+
+def _best_of_block(lows: np.ndarray, apart: np.ndarray, k: int):
+    """Sum the pairs of a block's movies up, and keep those that may be among the ``k`` best of their movie.
+
+    What heavy users can add to a pair is no more than the product of both norms on them. Where they add nothing, of
+    pairs of equal scores those of the ``k`` smallest ids are enough.
+    """
+    def best(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        sizes = _unpacked(table["sizes"])
+        starts = np.cumsum(sizes) - sizes
+        firsts = np.frombuffer(b"".join(table["firsts"].to_pylist()), np.int64)
+        steps, ratings = np.cumsum(_unpacked(table["steps"])), _unpacked(table["ratings"])
+        ids = steps + np.repeat(firsts - steps[starts], sizes)
+        squares, added = _unpacked(table["squares"]), np.zeros(len(ids))
+        ends = np.cumsum([len(t) // t[0] for t in table["ratings"].to_pylist()])  # entries of each row
+        for end, text, entries in zip(ends, table["held"].to_pylist(), np.diff(ends, prepend=0)):
+            if text:
+                added[end - entries : end] = np.sqrt(np.frombuffer(text))
+        movies, first, code = np.unique(ids, return_index=True, return_inverse=True)
+        norms = np.sqrt(squares[first])
+        heavy = np.zeros(len(movies))
+        heavy[code[added > 0]] = added[added > 0]  # a batch without any says nothing of it
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        mine = np.flatnonzero((np.searchsorted(lows, ids, "right") - 1 == block) & ~np.isin(ids, apart))
+        mine = mine[np.argsort(code[mine], kind="stable")]
+        asked = sizes[owner[mine]]
+        changes = np.flatnonzero(np.diff(code[mine], prepend=-1))
+        load = np.add.reduceat(asked, changes)
+        group = (np.cumsum(load) - load) // AT_ONCE
+        cuts = changes[np.flatnonzero(np.diff(group, prepend=-1))]
+        found = []
+        for begin, end in zip(cuts, np.r_[cuts[1:], len(mine)]):
+            chunk = mine[begin:end]
+            at = _spread(owner[chunk], sizes, starts)
+            times = sizes[owner[chunk]]
+            left = np.repeat(code[chunk], times)
+            keep = left != code[at]
+            key = (left * len(movies) + code[at])[keep]
+            if not len(key):
+                continue
+            product = (np.repeat(ratings[chunk], times) * ratings[at])[keep]
+            order = np.argsort(key)
+            key = key[order]
+            runs = np.flatnonzero(np.diff(key, prepend=-1))
+            dot, (a, b) = np.add.reduceat(product[order], runs), np.divmod(key[runs], len(movies))
+            part = dot / (norms[a] * norms[b])
+            order = np.lexsort((b, -part, a))
+            a, b, dot, part = a[order], b[order], dot[order], part[order]
+            place = np.arange(len(a))
+            head = np.flatnonzero(np.diff(a, prepend=-1))
+            count = np.diff(head, append=len(a))
+            kth = np.where(count >= k, part[np.minimum(head + k - 1, len(a) - 1)], -np.inf)
+            equal = np.flatnonzero(np.diff(a, prepend=-1).astype(bool) | np.diff(part, prepend=-1.0).astype(bool))
+            within = place - np.repeat(equal, np.diff(equal, append=len(a)))
+            stay = (part + heavy[a] * heavy[b] >= np.repeat(kth, count) - SLACK) & ((heavy[a] > 0) | (within < k))
+            found.append((movies[a[stay]], movies[b[stay]], dot[stay], part[stay]))
+        names = ["movie_id", "other_id", "dot", "part"]
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, np.int64)] * 3 + [np.empty(0)]
+        return pa.table(columns, names=names)
+    return best
+
+
+def _near(few: DataFrame, heavy: DataFrame, k: int) -> DataFrame:
+    """The pairs of the light users, as of :func:`_pair_sums`, without those that cannot be among the ``k`` best."""
+    kind = few.schema["movie_id"].dataType
+    loads = few.groupBy("movie_id").agg(F.sum("degree").alias("load"))
+    placed = stored(loads.orderBy("movie_id").withColumn("_part", F.spark_partition_id()))
+    inside = placed.where(F.col("load") <= PER_BLOCK)
+    within = Window.partitionBy("_part").orderBy("movie_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = inside.groupBy("_part").agg(F.sum("load").alias("_size")).select(
+        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    summed = inside.withColumn("_within", F.coalesce(F.sum("load").over(within), F.lit(0))).join(F.broadcast(offsets), "_part")
+    block = F.floor((F.col("_before") + F.col("_within")) / PER_BLOCK)
+    # One row a block, and the movies that are as large as one, come to the driver.
+    lows = np.array(sorted(r.low for r in summed.groupBy(block.alias("block")).agg(F.min("movie_id").alias("low")).collect()), np.int64)
+    large = placed.where(F.col("load") > PER_BLOCK).select("movie_id")
+    apart = np.array(sorted(r.movie_id for r in large.collect()), np.int64)
+    sums = _pair_sums(few.join(F.broadcast(large), "movie_id"), few, ["user_id"])
+    if not len(lows):
+        return sums
+    if heavy.isEmpty():
+        held = few.withColumn("held", F.lit(0.0))
+    else:
+        parts = heavy.groupBy("movie_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("held"))
+        held = lookup_join(few, parts, "movie_id", how="left").withColumn("held", F.coalesce("held", F.lit(0.0)))
+    entry = F.struct(F.col("movie_id").cast("bigint").alias("movie_id"), "rating", "squares", "held")
+    vectors = held.groupBy("user_id").agg(F.sort_array(F.collect_list(entry)).alias("entries")).select("entries")
+    routed = vectors.mapInArrow(_route(lows, apart), _ROUTED).repartition(len(lows), "block")
+    best = routed.groupBy("block").applyInArrow(
+        _best_of_block(lows, apart, k), "movie_id long, other_id long, dot long, part double")
+    best = best.withColumns({name: F.col(name).cast(kind) for name in ("movie_id", "other_id")})
+    return best.unionByName(sums) if len(apart) else best
+
+
 def candidate_pairs(ratings: DataFrame, k: int, light: int = LIGHT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The pairs that may be among the k best of their ``movie_id``, with what is summed up of them; rows; facts."""
-    rows = _weighted(ratings)
+    rows, norms = _weighted(ratings)
     few, heavy = rows.where(F.col("degree") <= light), rows.where(F.col("degree") > light)
-    near = durable(_pair_sums(few, few, ["user_id"]))
+    near = stored(_near(few, heavy, k))
     bound = F.coalesce("bound", F.lit(0.0))
     enough = F.array_position(F.transform("rests", lambda rest: F.sqrt(rest) < F.col("bound")), True)
-    facts = durable(_rests(rows, light).join(_bounds(near, heavy, k), "movie_id", "left").withColumn("bound", bound).withColumn(
-        "cut", F.when(F.col("bound") > 0, enough - 1).otherwise(F.lit(LEVELS)).cast("int")))
+    known = norms.join(_rests(heavy), "movie_id", "left").join(_bounds(near, heavy, k), "movie_id", "left")
+    # A movie without heavy raters has no rests, and looks through nobody.
+    facts = stored(known.withColumn("bound", bound).withColumn(
+        "cut", F.when(F.col("bound") > 0, F.coalesce(enough - 1, F.lit(0))).otherwise(F.lit(LEVELS)).cast("int")))
 
     # A heavy user's ratings are dealt into chunks; each movie that looks through the user asks every chunk.
     chunks = F.ceil(F.col("degree") / ROWS_PER_CHUNK).cast("int")
@@ -83,12 +243,12 @@ def candidate_pairs(ratings: DataFrame, k: int, light: int = LIGHT) -> tuple[Dat
     asking = heavy.join(facts.select("movie_id", "cut"), "movie_id").where("level <= cut").drop("cut").withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
     far = _pair_sums(asking, index, ["user_id", "_chunk"])
-    summed = durable(near.unionByName(far).groupBy("movie_id", "other_id").agg(
+    summed = stored(near.unionByName(far).groupBy("movie_id", "other_id").agg(
         F.sum("dot").alias("dot"), F.sum("part").alias("part")))
 
     own = facts.select("movie_id", "squares", "rests", "bound", "cut")
     others = facts.select(F.col("movie_id").alias("other_id"), F.col("squares").alias("_squares"), F.col("rests").alias("_rests"))
-    rest = F.sqrt(F.get("rests", F.col("cut")) * F.get("_rests", F.col("cut")))
+    rest = F.sqrt(F.coalesce(F.get("rests", F.col("cut")) * F.get("_rests", F.col("cut")), F.lit(0.0)))
     paired = summed.join(own, "movie_id").join(others, "other_id").withColumn("rest", rest)
     open_ = paired.where(F.col("part") + F.col("rest") >= F.col("bound"))
     return open_.select("movie_id", "other_id", "dot", "squares", "_squares", "cut", "rest"), rows, facts
@@ -102,7 +262,7 @@ def similar_movies(ratings: DataFrame, k: int = 10, digits: int = 9, light: int
     fewer such others than ``k`` has fewer rows.
     """
     pairs, rows, facts = candidate_pairs(ratings, k, max(light, k + 1))
-    pairs = durable(pairs)
+    pairs = stored(pairs)
     # Heavy users above the cut were not looked through; what is left of the pairs that stay is added now.
     heavy = rows.where(F.col("degree") > max(light, k + 1))
     tail = heavy.join(facts.select("movie_id", "cut"), "movie_id").where("level > cut").select("movie_id", "user_id", "rating")

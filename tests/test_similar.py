@@ -62,3 +62,19 @@ def test_a_heavy_rater_does_not_pair_all_its_movies(spark):
     assert counts[40] <= 2 * counts[20] <= 2 * 20 * 10 * 9  # of 400 * 399 pairs
     plan = plan_text(similar_movies(table, 5, light=20))
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("block, at_once, light", [(4_000_000, 1_000_000, 64), (900, 50, 64), (300, 10, 20)])
+def test_blocks_of_movies_keep_only_their_best_pairs(spark, monkeypatch, block, at_once, light):
+    """Many pairs share a rater; what blocks hand on grows with the movies. Some movies are too popular for a block."""
+    monkeypatch.setattr(similar, "PER_BLOCK", block)
+    monkeypatch.setattr(similar, "AT_ONCE", at_once)
+    r = random.Random(block)
+    ratings = [(u, 7 * m - 500, r.randint(1, 5)) for u in range(150) for m in {*r.sample(range(200), r.choice([2, 9, 30])), u % 2}]
+    table = spark.createDataFrame(ratings, "user_id INT, movie_id BIGINT, rating INT")
+    close(rows(similar_movies(table, 4, light=light)), plain(ratings, 4))
+    if block > 1000:
+        weighted, _ = similar._weighted(table)
+        near = similar._near(weighted, weighted.where("false"), 4).count()
+        shared = similar._pair_sums(weighted, weighted, ["user_id"]).count()
+        assert near <= 200 * 8 < shared / 5
