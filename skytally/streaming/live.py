@@ -15,12 +15,13 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from skytally.operators.membership import FAIL_TICKS, REMOVE_TICKS
 from skytally.streaming.runner import RunningTable, run_append, use_rocksdb_state
 
 _TIME = StructType([StructField("time", LongType())])
+_CHUNK = 1000  # rows that wait in one element of the state
 
 
 class _InOrder(StatefulProcessor):
@@ -51,14 +52,29 @@ class _InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", _TIME, self.waiting_schema)
+        arrays = [StructField(f.name, ArrayType(f.dataType)) for f in (*_TIME, *self.waiting_schema)]
+        self.waiting = handle.getListState("waiting", StructType(arrays))
         self.state = handle.getValueState("state", self.state_schema)
         self.timer = handle.getValueState("timer", _TIME)
 
+    @staticmethod
+    def _chunks(rows: dict[int, tuple]) -> list[tuple]:
+        """Elements of the state: many rows by column, since every call on the state is a message to the store."""
+        listed = [(time, *kept) for time, kept in rows.items()]
+        return [tuple(map(list, zip(*listed[i : i + _CHUNK]))) for i in range(0, len(listed), _CHUNK)]
+
+    def _waiting(self) -> dict[int, tuple]:
+        """Rows that wait, by time, those of one time merged in the order in which they came."""
+        waiting: dict[int, tuple] = {}
+        for chunk in self.waiting.get():
+            for time, *kept in zip(*chunk):
+                waiting[time] = self.merged(waiting[time], tuple(kept)) if time in waiting else tuple(kept)
+        return waiting
+
     def _wake_at(self, time: int | None) -> None:
         """Let the key be woken when the watermark has passed ``time``, and at no other time."""
         expiry = None if time is None else (time + 1) * 1000 - 1
-        last = self.timer.get() if self.timer.exists() else None
+        last = self.timer.get()
         if last is not None and last[0] == expiry:
             return
         if last is not None:
@@ -76,11 +92,10 @@ class _InOrder(StatefulProcessor):
             time, kept = self.row(row)
             if (time + 1) * 1000 > passed:
                 found[time] = self.merged(found[time], kept) if time in found else kept
-        for time, kept in found.items():
-            before = self.waiting.getValue((time,))
-            self.waiting.updateValue((time,), kept if before is None else self.merged(tuple(before), kept))
         if found:
-            woken = self.timer.get()[0] // 1000 if self.timer.exists() else None
+            self.waiting.appendList(self._chunks(found))
+            last = self.timer.get()
+            woken = None if last is None else last[0] // 1000
             first = min(found)
             if woken is None or first < woken:
                 self._wake_at(first)
@@ -88,8 +103,9 @@ class _InOrder(StatefulProcessor):
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
         end = timerValues.getCurrentWatermarkInMs() // 1000  # times below are due
-        state = tuple(self.state.get()) if self.state.exists() else None
-        waiting = {time[0]: tuple(kept) for time, kept in self.waiting.iterator()}
+        held = self.state.get()
+        state = None if held is None else tuple(held)
+        waiting = self._waiting()
         self.timer.clear()  # it has fired
         said: list[Row] = []
 
@@ -99,12 +115,16 @@ class _InOrder(StatefulProcessor):
                 state, row = self.missed(key, state)
                 said.append(row)
 
-        for time in sorted(t for t in waiting if t < end):
+        due = sorted(t for t in waiting if t < end)
+        for time in due:
             until(time)
             state, row = self.step(key, state, time, waiting.pop(time))
             if row is not None:
                 said.append(row)
-            self.waiting.removeKey((time,))
+        if waiting and due:
+            self.waiting.put(self._chunks(waiting))
+        elif due:
+            self.waiting.clear()
         until(end)
         if state is not None:
             self.state.update(state)
@@ -183,7 +203,8 @@ def _run(
 ) -> RunningTable:
     use_rocksdb_state(rows.sparkSession)
     timed = rows.withColumn("_time", F.timestamp_seconds(F.col(time) + 1)).withWatermark("_time", f"{lag} seconds")
-    said = timed.groupBy(key).transformWithState(processor, output, "append", "EventTime")
+    # The watermark is kept on the way to this point; a processor takes its time from the row.
+    said = timed.drop("_time").groupBy(key).transformWithState(processor, output, "append", "EventTime")
     return run_append(said, root)
 
 

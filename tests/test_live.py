@@ -5,6 +5,9 @@ import random
 
 import pytest
 
+from pyspark.sql import Row
+from pyspark.sql.types import StructType
+
 from skytally.operators.changelog import changelog_audit, changelog_state
 from skytally.sources.streams import stream_source
 from skytally.streaming import live
@@ -124,3 +127,63 @@ def test_rows_that_come_too_late_are_dropped(spark, tmp_path):
     add_files(spark, f"{tmp_path}/in", parts, LOG)
     found = rows(live.stream_changelog_audit(stream(spark, f"{tmp_path}/in", LOG), 20))
     assert found == [("a", 1, "CREATE", True), ("a", 200, "READ", True), ("a", 201, "READ", True)]
+
+
+class _Store:
+    """States in memory; counts the calls, each of which is a message to the state store."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, []
+
+    def _state(self, *_):
+        return _Held(self)
+
+    getValueState = getListState = getMapState = _state
+
+    def registerTimer(self, expiry):
+        self.timers.append(expiry)
+
+    def deleteTimer(self, expiry):
+        self.timers.remove(expiry)
+
+
+class _Held:
+    def __init__(self, store):
+        self.store, self.value = store, None
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.store.calls += 1
+            if name == "exists":
+                return self.value is not None
+            if name in ("get", "iterator"):
+                return self.value if self.value is None or isinstance(self.value, tuple) else iter(self.value)
+            if name == "appendList":
+                self.value = [*(self.value or []), *args[0]]
+            elif name in ("update", "put"):
+                self.value = args[0]
+            elif name == "clear":
+                self.value = None
+        return call
+
+
+def test_calls_on_the_state_do_not_grow_with_the_rows(spark):
+    class Times:
+        def __init__(self, at):
+            self.getCurrentWatermarkInMs = lambda: at
+
+    store = _Store()
+    auditor = live.ChangeAuditor(StructType().add("value", "double")["value"])
+    auditor.init(store)
+    log = [Row(key="k", seq=s, op="CREATE" if s == 7 else "UPDATE", value=float(s)) for s in range(5000)]
+    random.Random(1).shuffle(log)
+    for part in (log[:3000], log[3000:]):
+        assert not list(auditor.handleInputRows(("k",), iter(part), Times(0)))
+    assert store.timers == [999]
+    store.timers.clear()
+    said = list(auditor.handleExpiredTimer(("k",), Times(4_000_000), None))
+    assert [(r.seq, r.success, r.live_value) for r in said] == [(s, s >= 7, float(s) if s >= 7 else None) for s in range(4000)]
+    assert store.timers == [4_000_999] and store.calls < 30
+    store.timers.clear()
+    said += list(auditor.handleExpiredTimer(("k",), Times(9_000_000), None))
+    assert [r.seq for r in said] == list(range(5000)) and not store.timers and store.calls < 40
