@@ -15,6 +15,8 @@ from skytally.plans.joins import ROWS_PER_TASK, lookup_join
 
 UNREACHABLE = 2147483647  # fixed value: hop count of a vertex that cannot be reached, in the integer form
 
+_FEW = 10_000  # rows of a level or of all levels that may be broadcast: what larger ones add up to is shuffled
+
 _MERGE_LEVELS = 16  # BFS levels after which the visited set is written as one table
 
 
@@ -74,25 +76,30 @@ def shortest_paths(
 ) -> DataFrame:
     """``(id, hops)``: fewest directed edges from ``source``; NULL (or the integer mark) where there is no path.
 
-    Breadth-first: each round joins the edges with the newest level only and writes only the next level. A level is
-    broadcast by Spark while it is small and shuffled once it is not.
+    Breadth-first: each round joins the edges with the newest level only and writes only the next level. A level of
+    few rows is broadcast by Spark, others are shuffled, so that what goes through the driver does not grow with them.
     """
+    by_size = lambda df, rows: df if rows <= _FEW else df.hint("merge")
+
     links = durable(edges.where("src <> dst").select(F.col("src").alias("id"), "dst").distinct())
     total = links.count()
     level = durable(vertices.where(F.col("id") == source).select("id", F.lit(0).alias("hops")))
     levels, hops = [level], 0
-    while not level.isEmpty():
+    size = seen = level.count()
+    while size:
         hops += 1
-        reached = lookup_join(links, level.select("id"), "id", total, "inner", rows_per_task)
-        visited = reduce(DataFrame.unionByName, levels)
+        reached = lookup_join(links, by_size(level.select("id"), size), "id", total, "inner", rows_per_task)
+        visited = by_size(reduce(DataFrame.unionByName, levels), seen)
         level = durable(
             reached.select(F.col("dst").alias("id")).distinct()
             .join(visited, "id", "left_anti")
             .select("id", F.lit(hops).alias("hops"))
         )
+        size = level.count()
+        seen += size
         levels.append(level)
         if len(levels) > _MERGE_LEVELS:
             levels = [durable(reduce(DataFrame.unionByName, levels))]
-    found = reduce(DataFrame.unionByName, levels)
+    found = by_size(reduce(DataFrame.unionByName, levels), seen)
     result = F.coalesce("hops", F.lit(UNREACHABLE)) if integer_unreachable else F.col("hops")
     return vertices.select("id").join(found, "id", "left").select("id", result.alias("hops"))

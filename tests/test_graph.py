@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from skytally.operators import graph, links
+from skytally.plans.inspect import plan_text
 from skytally.sources.text import parse_adjacency
 from tests.conftest import rows
 
@@ -89,3 +91,12 @@ def test_hops_beyond_the_merged_levels_and_from_a_missing_source(spark):
     path = [(i, i + 1) for i in range(20)]
     assert rows(graph.shortest_paths(*frames(spark, range(21), path), 0)) == sorted([(i, i) for i in range(21)], key=repr)
     assert rows(graph.shortest_paths(*frames(spark, [1, 2], [(1, 2)]), 99)) == [(1, None), (2, None)]
+
+
+def test_large_levels_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(graph, "_FEW", 0)
+    edges = spark.createDataFrame([(i // 2, i) for i in range(1, 200)], "src INT, dst INT")
+    vertices = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    found = graph.shortest_paths(vertices, edges, 1)
+    assert {tuple(r) for r in found.collect()} == {(0, None), *((i, i.bit_length() - 1) for i in range(1, 200))}
+    assert "Broadcast" not in plan_text(found)
