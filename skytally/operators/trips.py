@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skytally.plans.durable import durable
 from skytally.plans.joins import fits_broadcast, restrict_to
 
 LAYOVER_DAYS = 2     # fixed value: days from the first to the second leg
@@ -18,17 +19,24 @@ NO_ARRIVAL = 9999    # fixed value: only arrivals before it count
 LEG_KEY = ["origin", "dest", "flight_date"]
 
 
-def request_legs(requests: DataFrame) -> DataFrame:
-    """Both legs of each request (x, y, z, date1); a repeated request counts once."""
+def _both_legs() -> Column:
     first = F.struct(
-        F.lit(0).alias("leg"), F.col("x").alias("origin"), F.col("y").alias("dest"), F.col("date1").alias("flight_date")
-    )
+        F.lit(0).alias("leg"), F.col("x").alias("origin"), F.col("y").alias("dest"), F.col("date1").alias("flight_date"))
     second = F.struct(
         F.lit(1).alias("leg"), F.col("y").alias("origin"), F.col("z").alias("dest"),
-        F.date_add("date1", LAYOVER_DAYS).alias("flight_date"),
-    )
+        F.date_add("date1", LAYOVER_DAYS).alias("flight_date"))
+    return F.array(first, second)
+
+
+def wanted_legs(requests: DataFrame) -> DataFrame:
+    """The distinct legs of all requests. They are reduced at once, not after the requests, of which there are more."""
+    return requests.select(F.inline(_both_legs())).distinct()
+
+
+def request_legs(requests: DataFrame) -> DataFrame:
+    """Both legs of each request (x, y, z, date1); a repeated request counts once."""
     distinct = requests.select("x", "y", "z", "date1").distinct()
-    return distinct.select("x", "y", "z", "date1", F.inline(F.array(first, second)))
+    return distinct.select("x", "y", "z", "date1", F.inline(_both_legs()))
 
 
 def _in_half(leg: Column) -> Column:
@@ -44,7 +52,7 @@ def leg_candidates(flights: DataFrame, requests: DataFrame) -> DataFrame:
 
     Requests that share a leg share its candidates, so the result has at most two rows per flight.
     """
-    legs = request_legs(requests).select("leg", *LEG_KEY).distinct()
+    legs = durable(wanted_legs(requests))  # asked for its size, then joined
     if fits_broadcast(legs):
         legs = F.broadcast(legs)
     joined = usable_flights(flights).join(legs, LEG_KEY)
@@ -74,7 +82,7 @@ def only_requested(flights: DataFrame, requests: DataFrame, few: bool | None = N
         few = fits_broadcast(requests)
     if not few:
         return flights
-    legs = request_legs(requests).select(*LEG_KEY).distinct()
+    legs = wanted_legs(requests).select(*LEG_KEY).distinct()
     return restrict_to(flights, legs, LEG_KEY)
 
 
@@ -105,6 +113,10 @@ def best_trips(best: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
-def find_trips(flights: DataFrame, requests: DataFrame, few: bool | None = None) -> DataFrame:
-    """Best itinerary of each request over a table of flights."""
-    return best_trips(best_flights(only_requested(flights, requests, few)), requests)
+def find_trips(flights: DataFrame, requests: DataFrame, few: bool | None = None, store: bool = False) -> DataFrame:
+    """Best itinerary of each request over a table of flights.
+
+    Both legs are looked up in the best flights; with ``store`` these are found at once, and only once.
+    """
+    best = best_flights(only_requested(flights, requests, few))
+    return best_trips(durable(best) if store else best, requests)

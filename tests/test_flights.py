@@ -1,5 +1,7 @@
 import datetime
 
+from pyspark.sql import functions as F
+
 from skytally.operators import flights as fl, serving, trips
 from skytally.plans.inspect import plan_text
 from tests.conftest import rows
@@ -109,3 +111,13 @@ def test_trip_legs(spark):
 def test_one_leg_key_held_by_most_rows_is_reduced_before_the_join(spark):
     plan = plan_text(trips.find_trips(trip_flights(spark), trip_requests(spark), few=False), "simple")
     assert "partial_min" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_wanted_legs_are_reduced_in_one_exchange(spark):
+    requests = spark.createDataFrame(
+        [("a", "b", "c", "2020-01-01"), ("a", "b", "d", "2020-01-01"), ("a", "b", "c", "2020-01-01"), ("b", "c", "a", "2020-01-03")],
+        "x STRING, y STRING, z STRING, day STRING").select("x", "y", "z", F.to_date("day").alias("date1"))
+    legs = trips.wanted_legs(requests)
+    assert plan_text(legs, "simple").count("Exchange") == 1
+    expected = trips.request_legs(requests).select("leg", *trips.LEG_KEY).distinct()
+    assert sorted(map(tuple, legs.collect())) == sorted(map(tuple, expected.collect())) and legs.count() == 5
