@@ -128,7 +128,7 @@ def trip_leg_best(t: Tables) -> DataFrame:
 
 @query
 def trip_best(t: Tables) -> DataFrame:
-    return trips.find_trips(inputs.flights(t, TRIP_FIELDS), inputs.trip_requests(t), few=False)
+    return trips.find_trips(inputs.flights(t, TRIP_FIELDS), inputs.trip_requests(t), few=False, store=True)
 
 
 @query
@@ -243,7 +243,7 @@ def params_trip_requests(t: Tables) -> DataFrame:
         F.concat_ws(" ", "z", "y", "x", F.lit("never")))).alias("value"))
     lines.write.text(path)
     flights = inputs.one_word(inputs.flights(t, TRIP_FIELDS), "origin", "dest")
-    return trips.find_trips(flights, params.read_trip_requests(t.spark, path), few=False)
+    return trips.find_trips(flights, params.read_trip_requests(t.spark, path), few=False, store=True)
 
 
 @query
@@ -311,7 +311,7 @@ def serving_mean(t: Tables) -> DataFrame:
 @query
 def serving_findflight(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "findflight")
-    found = trips.find_trips(inputs.flights(t, TRIP_FIELDS), inputs.trip_requests(t), few=False)
+    found = trips.find_trips(inputs.flights(t, TRIP_FIELDS), inputs.trip_requests(t), few=False, store=True)
     sink.write_serving_table(found, path)
     return sink.read_serving_table(t.spark, path)
 

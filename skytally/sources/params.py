@@ -21,11 +21,12 @@ def parse_pair_list(lines: DataFrame, first: str = "origin", second: str = "dest
 
 def parse_trip_requests(lines: DataFrame) -> DataFrame:
     """Requests ``X Y Z date``; malformed lines are skipped."""
-    fields = lines.select(split_whitespace(F.col("value")).alias("f")).where(F.size("f") >= 4)
-    requests = fields.select(
+    # Generators of one row, through which no filter is moved: each line is cut once, and each date read once.
+    fields = lines.select(F.explode(F.array(split_whitespace(F.col("value")))).alias("f")).where(F.size("f") >= 4)
+    requests = fields.select(F.inline(F.array(F.struct(
         F.col("f")[0].alias("x"), F.col("f")[1].alias("y"), F.col("f")[2].alias("z"),
         to_date(F.col("f")[3]).alias("date1"),
-    )
+    ))))
     return requests.where(F.col("date1").isNotNull()).distinct()
 
 

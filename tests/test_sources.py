@@ -1,6 +1,9 @@
 import datetime
 import os
 
+from pyspark.sql import functions as F
+
+from skytally.plans.inspect import plan_text
 from skytally.schemas import CLEAN_COLUMNS, RATINGS
 from skytally.sinks import tables as sink
 from skytally.sources import flights, params, streams, text, wide
@@ -177,3 +180,21 @@ def test_headers_of_any_number_of_files_are_found_by_one_job(spark, tmp_path):
     names = {os.path.basename(path) for path in min(groups, key=len)}
     assert names == {f"{i}%20 a.csv" for i in range(0, 30, 5)}
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == kept
+
+
+def test_a_request_line_is_cut_once(spark, lines):
+    requests = params.parse_trip_requests(lines("a b c 2020-01-01", " a  b c\t2020-01-01 x", "a b c", "c b a never", "a b c 2020-1-1", ""))
+    assert plan_text(requests, "simple").count("split(") == 1
+    assert [tuple(map(str, r)) for r in requests.collect()] == [("a", "b", "c", "2020-01-01")]
+
+
+def test_micro_batches_have_a_file_for_every_core(spark, tmp_path):
+    from skytally.catalog import queries
+    from skytally.catalog.inputs import Tables
+
+    batches = queries._in_batches(Tables(spark, "/root/testdata/sf0.001"), spark.range(4000), 3)
+    sizes = []
+    query = batches.writeStream.foreachBatch(lambda df, _: sizes.append((df.count(), df.select(F.input_file_name()).distinct().count()))).option(
+        "checkpointLocation", str(tmp_path)).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [n for _, n in sizes] == 3 * [spark.sparkContext.defaultParallelism] and sum(n for n, _ in sizes) == 4000
