@@ -718,10 +718,11 @@ def stream_heartbeat_status(t: Tables) -> DataFrame:
 
 
 def _in_batches(t: Tables, df: DataFrame, batches: int = 5) -> DataFrame:
-    """The rows of ``df`` as a stream of so many micro-batches."""
+    """The rows of ``df`` as a stream of so many micro-batches, each of a file for every core."""
     path = scratch_path(t.spark, "files")
-    df.repartition(batches).write.parquet(path)
-    return stream_source(t.spark, "parquet", path, df.schema, max_files_per_trigger=1)
+    files = t.spark.sparkContext.defaultParallelism
+    df.repartition(batches * files).write.parquet(path)
+    return stream_source(t.spark, "parquet", path, df.schema, max_files_per_trigger=files)
 
 
 @query
