@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skytally.llm.packing import mix, pack_numbers, pack_sorted, unpack_numbers, unpack_sorted
+from skytally.llm.packing import bitmap, in_bitmap, mix, pack_numbers, pack_sorted, unpack_numbers, unpack_sorted
 from skytally.llm.suffixes import lengths_of, run_starts
 from skytally.plans.durable import durable
 from skytally.plans.ranking import top_k_per_group
@@ -21,7 +21,6 @@ SCALE = 2_000_000
 COVERED_PERCENT = 80
 
 FILTER_BITS = 1 << 26  # of the bitmap of frequent phrases, 8 MB; a power of two
-_BUCKET_BITS = 1 << 15  # Spark's bitmaps are pieces of this many bits
 
 PREFIXES = 64  # subtrees below the root, by first word
 BURST = 1 << 14  # phrases that a hash container holds before it bursts
@@ -197,13 +196,13 @@ class _Counter:
             of_word = self.known(words)
             hashes = np.array(self.hashes, np.uint64)[of_word] if bits else None
             if bits:
-                good &= _set(bits[0], hashes)
+                good &= in_bitmap(bits[0], hashes)
             ok = good[at]
             paired = ok
             if len(bits) > 1:
                 paired = np.zeros(len(at), bool)
                 begins = np.flatnonzero(ok[:-1] & ok[1:])
-                paired[begins] = _set(bits[1], pair_keys(hashes[at[begins]], hashes[at[begins + 1]]))
+                paired[begins] = in_bitmap(bits[1], pair_keys(hashes[at[begins]], hashes[at[begins + 1]]))
             ids = of_word[at]
             for w, trie in self.tries.items():
                 trie.add(*_phrases(w, ids, ok, paired), self.prefixes)
@@ -246,22 +245,6 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * np.uint64(0x9E3779B97F4A7C15) + second) >> np.uint64(_PAIR_SHIFT)
 
 
-def _set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether the bits of the hashes are set: true for everything frequent, and by chance for others."""
-    spot = (hashes % np.uint64(len(bits) * 8)).astype(np.int64)
-    return (bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
-
-
-def _bitmap(hashes: DataFrame, size: int) -> np.ndarray:
-    """The bits of the given hashes (column ``h``); ``size`` bits in all, whatever the corpus."""
-    spots = hashes.select(F.pmod("h", F.lit(size)).alias("_spot"))
-    rows = spots.select(F.expr(f"CAST(_spot DIV {_BUCKET_BITS} AS INT)").alias("_piece"), F.expr(f"_spot % {_BUCKET_BITS}").alias("_bit"))
-    bits = np.zeros(size // 8, np.uint8)
-    for at, part in rows.groupBy("_piece").agg(F.bitmap_construct_agg("_bit")).collect():
-        bits[at * _BUCKET_BITS // 8 : (at + 1) * _BUCKET_BITS // 8] = np.frombuffer(part, np.uint8)[: size // 8]
-    return bits
-
-
 def _frequent_keys(runs: DataFrame, min_count: int) -> DataFrame:
     """Merge the sorted runs of each prefix partition; the keys whose counts add up to ``min_count``."""
 
@@ -341,10 +324,10 @@ def collocations(
     words = _counted(documents, (1,), min_count)
     totals = words.where("phrase = ''").select("lang", F.col("n").alias("_total"))
     words = words.where("phrase <> ''")
-    word_bits = _bitmap(words.select(F.xxhash64("lang", "phrase").alias("h")), filter_bits)
+    word_bits = bitmap(words.select(F.xxhash64("lang", "phrase").alias("h")), filter_bits)
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     runs = _runs(documents, (2,), 1 + size // _SLICE_BYTES, word_bits)
-    pair_bits = _bitmap(_frequent_keys(runs, min_count), filter_bits)
+    pair_bits = bitmap(_frequent_keys(runs, min_count), filter_bits)
     grams = words.unionByName(_counted(documents, tuple(range(2, max_words + 1)), min_count, word_bits, pair_bits))
 
     split = F.split("phrase", " ")
