@@ -6,10 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skytally.llm.packing import bitmap, in_bitmap, mix, pack_numbers, pack_sorted, unpack_numbers, unpack_sorted
+from skytally.llm.packing import (
+    bitmap, in_bitmap, mix, pack_lines, pack_numbers, pack_sorted, unpack_lines, unpack_numbers, unpack_sorted,
+)
 from skytally.llm.suffixes import lengths_of, run_starts
 from skytally.plans.durable import durable
 from skytally.plans.ranking import top_k_per_group
@@ -35,8 +38,11 @@ _BREAK = b"\n"
 _PAIR_SHIFT = 24  # pairs are told apart by 40 bits of their hash, to find those that may be frequent
 _SLICE_BYTES = 4 << 30  # text per slice of a prefix partition
 
-_RUNS = "lang string, phrase binary, n long"
-_RUN_SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64())])
+_PHRASE_SLICES = 4  # slices of phrases for one of hashes
+
+_RUNS = "lang string, prefix long, slice long, phrases binary, known binary, at binary"
+_RUN_SCHEMA = pa.schema([("lang", pa.string()), ("prefix", pa.int64()), ("slice", pa.int64()), ("phrases", pa.binary()),
+                         ("known", pa.binary()), ("at", pa.binary())])
 _PACKED_RUNS = "lang string, prefix long, slice long, keys binary, known binary, at binary"
 _PACKED_SCHEMA = pa.schema([("lang", pa.string()), ("prefix", pa.int64()), ("slice", pa.int64()), ("keys", pa.binary()),
                             ("known", pa.binary()), ("at", pa.binary())])
@@ -118,9 +124,9 @@ class PhraseTrie:
 class _Counter:
     """The phrases of one language in one task, by number of words, and the runs they leave as."""
 
-    def __init__(self, lang: str, words: tuple[int, ...], slices: int = 0):
-        """With ``slices``, runs are packed hashes of pairs in so many slices; without, they are phrases."""
-        self.lang, self.slices = lang, slices
+    def __init__(self, lang: str, words: tuple[int, ...], slices: int, hashed: bool):
+        """Runs are packed in so many slices: hashes of pairs if ``hashed``, else phrases."""
+        self.lang, self.slices, self.hashed = lang, slices, hashed
         self.seed = xxhash.xxh64_intdigest(lang.encode(), 42)
         self.tries = {w: PhraseTrie(w) for w in words}
         self.forget()
@@ -134,14 +140,25 @@ class _Counter:
     def run(self, w: int, p: int) -> pa.RecordBatch:
         """Take a subtree out, as a run sorted by phrase or by hash."""
         held = self.tries[w].take(p)
-        if self.slices:
+        if self.hashed:
             return self._packed_run(p, held)
         mask, shifts = (1 << _ID_BITS) - 1, [_ID_BITS * i for i in range(w - 1, -1, -1)]
         names = self.names
         rows = sorted((b" ".join([names[key >> s & mask] for s in shifts]), n) for key, n in held.items())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([self.lang] * len(rows), pa.string()), pa.array([p for p, _ in rows], pa.binary()),
-             pa.array([n for _, n in rows], pa.int64())], schema=_RUN_SCHEMA)
+        if self.slices == 1:
+            return self._phrase_run(p, {0: rows})
+        slices: dict[int, list[tuple[bytes, int]]] = {}
+        for row in rows:
+            slices.setdefault(xxhash.xxh3_64_intdigest(row[0]) % self.slices, []).append(row)
+        return self._phrase_run(p, slices)
+
+    def _phrase_run(self, p: int, slices: dict[int, list[tuple[bytes, int]]]) -> pa.RecordBatch:
+        columns: list[list] = [[], [], [], [], [], []]
+        for at, rows in slices.items():
+            counts = pack_numbers(np.array([n for _, n in rows], np.int64))
+            for column, value in zip(columns, (self.lang, p, at, pack_lines([x for x, _ in rows]), *counts)):
+                column.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RUN_SCHEMA)], schema=_RUN_SCHEMA)
 
     def _packed_run(self, p: int, held: dict[int, int]) -> pa.RecordBatch:
         pairs = np.fromiter(held, np.int64, len(held))
@@ -191,8 +208,7 @@ class _Counter:
             good = np.array([word != _BREAK for word in words])
             if 1 in self.tries:  # all words of the language go under the empty phrase
                 total = int(good[at[:_CHUNK_WORDS]].sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([self.lang]), pa.array([b""], pa.binary()), pa.array([total], pa.int64())], schema=_RUN_SCHEMA)
+                yield self._phrase_run(PREFIXES, {0: [(b"", total)]})
             of_word = self.known(words)
             hashes = np.array(self.hashes, np.uint64)[of_word] if bits else None
             if bits:
@@ -260,8 +276,8 @@ def _frequent_keys(runs: DataFrame, min_count: int) -> DataFrame:
     return runs.groupBy("lang", "prefix", "slice").applyInArrow(merge, "h long")
 
 
-def _runs(documents: DataFrame, words: tuple[int, ...], slices: int, *bits: np.ndarray) -> DataFrame:
-    """The runs of all tasks: phrases of so many words, or with ``slices`` packed hashes of pairs."""
+def _runs(documents: DataFrame, words: tuple[int, ...], slices: int, hashed: bool, *bits: np.ndarray) -> DataFrame:
+    """The packed runs of all tasks: phrases of so many words, or hashes of pairs."""
     shared = documents.sparkSession.sparkContext.broadcast(bits)  # bitmaps of fixed size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,11 +289,11 @@ def _runs(documents: DataFrame, words: tuple[int, ...], slices: int, *bits: np.n
                 waiting.setdefault(lang, []).append(text)
                 held[lang] = held.get(lang, 0) + len(text)
                 if held[lang] >= _CHUNK_BYTES:
-                    counter = counters.setdefault(lang, _Counter(lang, words, slices))
+                    counter = counters.setdefault(lang, _Counter(lang, words, slices, hashed))
                     yield from counter.count(waiting.pop(lang), shared.value)
                     del held[lang]
             for lang, texts in waiting.items():
-                counter = counters.setdefault(lang, _Counter(lang, words, slices))
+                counter = counters.setdefault(lang, _Counter(lang, words, slices, hashed))
                 yield from counter.count(texts, shared.value)
             # Languages share the memory of a task.
             while sum(sum(map(len, c.tries.values())) for c in counters.values()) > SPILL:
@@ -288,14 +304,23 @@ def _runs(documents: DataFrame, words: tuple[int, ...], slices: int, *bits: np.n
 
     texts = documents.select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return texts.mapInArrow(count, _PACKED_RUNS if slices else _RUNS)
+    return texts.mapInArrow(count, _PACKED_RUNS if hashed else _RUNS)
 
 
-def _counted(documents: DataFrame, words: tuple[int, ...], min_count: int, *bits: np.ndarray) -> DataFrame:
+def _counted(documents: DataFrame, words: tuple[int, ...], slices: int, min_count: int, *bits: np.ndarray) -> DataFrame:
     """``(lang, phrase, n)`` of the phrases of so many words that are frequent (and the empty phrase, with words = 1)."""
-    merged = _runs(documents, words, 0, *bits).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return durable(merged.where((F.col("n") >= min_count) | (F.octet_length("phrase") == 0)).select(
-        "lang", F.col("phrase").cast("string").alias("phrase"), "n"))
+
+    def merge(table: pa.Table) -> pa.Table:
+        phrases = pa.chunked_array([pa.array(unpack_lines(x), pa.binary()) for x in table["phrases"].to_pylist()])
+        counts = pa.chunked_array([unpack_numbers(*x) for x in zip(table["known"].to_pylist(), table["at"].to_pylist())])
+        summed = pa.table([phrases, counts], names=["phrase", "n"]).group_by("phrase").aggregate([("n", "sum")])
+        kept = summed.filter(pc.or_(pc.greater_equal(summed["n_sum"], min_count), pc.equal(summed["phrase"], b"")))
+        return pa.table([pa.array([table["lang"][0].as_py()] * len(kept), pa.string()), kept["phrase"], kept["n_sum"]],
+                        names=["lang", "phrase", "n"])
+
+    runs = _runs(documents, words, slices, False, *bits)
+    merged = runs.groupBy("lang", "prefix", "slice").applyInArrow(merge, "lang string, phrase binary, n long")
+    return durable(merged.select("lang", F.col("phrase").cast("string").alias("phrase"), "n"))
 
 
 def collocations(
@@ -312,8 +337,8 @@ def collocations(
     1. Every task counts phrases in a burst trie over word ids (:class:`PhraseTrie`); what leaves memory does so by whole
        subtrees, as sorted runs. Words are counted first. Then pairs of frequent words: their runs are packed hashes,
        merged per prefix partition, and tell which pairs may be frequent. Then pairs and longer phrases whose pairs may
-       all be frequent, as no phrase is more frequent than its parts; Spark merges these runs by phrase. The tasks are
-       told what is frequent by bitmaps of ``filter_bits`` bits; false positives are counted and found out.
+       all be frequent, as no phrase is more frequent than its parts. Runs of phrases are packed too, sorted and
+       compressed, and merged per prefix partition and slice. The tasks are told what is frequent by bitmaps of ``filter_bits`` bits; false positives are counted and found out.
     2. Cuts, parts and longer phrases are joins of the frequent phrases among themselves; scores are decimals.
 
     Null text: empty. Null lang: ``und``, one language with rows that say so. Repeated rows count each. Ties of score: larger
@@ -321,14 +346,15 @@ def collocations(
     """
     if not 2 <= max_words <= 4:
         raise ValueError("phrases of 2 to 4 words")
-    words = _counted(documents, (1,), min_count)
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slices = 1 + _PHRASE_SLICES * size // _SLICE_BYTES
+    words = _counted(documents, (1,), slices, min_count)
     totals = words.where("phrase = ''").select("lang", F.col("n").alias("_total"))
     words = words.where("phrase <> ''")
     word_bits = bitmap(words.select(F.xxhash64("lang", "phrase").alias("h")), filter_bits)
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    runs = _runs(documents, (2,), 1 + size // _SLICE_BYTES, word_bits)
+    runs = _runs(documents, (2,), 1 + size // _SLICE_BYTES, True, word_bits)
     pair_bits = bitmap(_frequent_keys(runs, min_count), filter_bits)
-    grams = words.unionByName(_counted(documents, tuple(range(2, max_words + 1)), min_count, word_bits, pair_bits))
+    grams = words.unionByName(_counted(documents, tuple(range(2, max_words + 1)), slices, min_count, word_bits, pair_bits))
 
     split = F.split("phrase", " ")
     sized = grams.select("lang", "phrase", F.col("n").alias("a"), F.size(split).alias("_words"), split.alias("_w"))

@@ -113,3 +113,20 @@ def test_trie_counts_through_bursts_and_spills(monkeypatch):
     for p in range(cl.PREFIXES):
         out.update(trie.take(p))
     assert out == expected and len(trie) == 0
+
+
+def test_runs_of_phrases_are_packed(spark):
+    """A task hands over a packed row for each subtree and number of words, not a row for each phrase."""
+    r = random.Random(3)
+    texts = [" ".join(f"w{r.randrange(3000)}" for _ in range(400)) for _ in range(100)]
+    table = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").coalesce(1)
+    for slices in (1, 3):
+        runs = cl._runs(table, (1, 2), slices, False).collect()
+        found = Counter()
+        for row in runs:
+            found.update(dict(zip(cl.unpack_lines(row.phrases), cl.unpack_numbers(row.known, row.at).tolist())))
+        w = [t.split(" ") for t in texts]
+        expected = Counter(x.encode() for t in w for x in t) + Counter(" ".join(x).encode() for t in w for x in zip(t, t[1:]))
+        assert found.pop(b"") == 40_000 and found == expected
+        assert len(runs) <= 2 * cl.PREFIXES * slices + 1 < len(expected) / 10
+        assert sum(len(x.phrases) + len(x.known) + len(x.at) for x in runs) < 9 * len(expected)
