@@ -42,7 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_file(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the mix as a token file, and return what it holds of each document."""
     path = scratch_path(spark, "token_pages")
-    write_token_pages(docs, path, remembered=REMEMBERED)
+    write_token_pages(docs, path, remembered=REMEMBERED, keep=False)
     return read_token_pages(spark, path)
 
 

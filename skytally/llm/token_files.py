@@ -20,7 +20,7 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
 BLOCK = 512  # ids that share an offset
 PAGE_IDS = 65_536  # a page ends with the document that reaches this
-TEXTS_AT_ONCE = 1024
+TEXTS_AT_ONCE = 256
 _MAGIC = b"S8P1"
 _HEAD = struct.Struct("<4sIQII")
 
@@ -176,6 +176,7 @@ def _give_back() -> None:
 
 def write_token_pages(
     documents: DataFrame, path: str, tokenizer: str = PATH, end_id: int = END_ID, remembered: int = REMEMBERED,
+    keep: bool = True,
 ) -> None:
     """Encode whole texts and write them to ``path`` as pages in ascending document order.
 
@@ -186,6 +187,7 @@ def write_token_pages(
     texts. Columns other than ``doc_id`` and ``text`` are ignored; an empty table gives no pages.
 
     ``remembered`` bounds the pieces of text whose ids a worker keeps in memory; pieces beyond it are encoded again.
+    Unless ``keep``, a worker lets go of them at the end of each task: it outlives the task, and so would they.
     """
     order = (F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc(), F.col("text").asc_nulls_first())
 
@@ -213,6 +215,10 @@ def write_token_pages(
                         docs, held, page = [], 0, page + 1
         if docs:
             yield flush()
+        if not keep:
+            docs = texts = ids = batch = None
+            encoder(tokenizer, remembered).forget()
+            _give_back()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     pages = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).mapInArrow(encode, _PAGES)

@@ -2,6 +2,7 @@
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from skytally.llm import encoding
 from skytally.llm.decontam import clean_documents
 from skytally.llm.mixing import mix_sources, mixed_documents
 from skytally.llm.near import one_of_each_group
@@ -74,3 +75,23 @@ def test_null_ids_make_several_shards(spark):
     found = read_token_pages(spark, path).orderBy("start").collect()
     assert len(found) == 4000 and found[0].start == 0
     assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:]))
+
+
+def test_workers_of_the_token_stage_forget(spark):
+    """A worker outlives its tasks: without ``keep`` no piece of text stays in it when a task ends."""
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('word', id, ' and, more') AS text").repartition(2)
+    held = lambda rem: spark.range(0, 64, 1, 16).mapInArrow(lambda batches: _count_held(batches, rem), "n long").agg({"n": "max"}).first()[0]
+    path = scratch_path(spark, "forgets")
+    write_token_pages(docs, path, remembered=54_321, keep=False)
+    assert read_token_pages(spark, path).count() == 400 and held(54_321) == 0
+    write_token_pages(docs, scratch_path(spark, "keeps"), remembered=54_322)
+    assert held(54_322) > 0
+
+
+def _count_held(batches, remembered):
+    import pyarrow as pa
+
+    for _ in batches:
+        cached = encoding.encoder.cache_info().currsize and encoding.encoder(encoding.PATH, remembered)
+        pieces = [len(x) for m in (cached.of_chunk, cached.of_pre_token) for x in (m.young, m.old)] if cached else [0]
+        yield pa.RecordBatch.from_arrays([pa.array([sum(pieces)])], names=["n"])
