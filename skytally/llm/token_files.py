@@ -81,24 +81,27 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
     lengths = np.full(blocks, block)
     if blocks:
         lengths[-1] = n - (blocks - 1) * block
-    lane, at = np.arange(blocks), np.zeros(blocks, np.int64)
-    picked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    while len(lane):
-        selectors = best[lane, at]
-        picked.append((lane, at, selectors))
-        at = at + COUNTS[selectors]
-        on = at < lengths[lane]
-        lane, at = lane[on], at[on]
+    step, selector_at = COUNTS[best].ravel(), best.ravel()
+    spot = np.arange(blocks) * block
+    end = spot + lengths
+    picked: list[np.ndarray] = []
+    while len(spot):
+        picked.append(spot)
+        spot = spot + step[spot]
+        on = spot < end
+        if not on.all():
+            spot, end = spot[on], end[on]
     if not picked:
         return np.empty(0, np.uint64), np.empty(0, np.uint32)
-    lane, at, selectors = (np.concatenate(x) for x in zip(*picked))
-    order = np.argsort(lane * block + at)
-    lane, at, selectors = lane[order], at[order], selectors[order]
+    spot = np.sort(np.concatenate(picked))
+    lane, at = np.divmod(spot, block)
+    selectors = selector_at[spot]
+    place = lane * lanes.shape[1] + at
     words = selectors.astype(np.uint64) << np.uint64(60)
     for selector in np.unique(selectors):
         mine = np.flatnonzero(selectors == selector)
         if BITS[selector]:
-            values = lanes[lane[mine, None], at[mine, None] + np.arange(COUNTS[selector])]
+            values = lanes.ravel()[place[mine, None] + np.arange(COUNTS[selector])]
             shifts = np.arange(COUNTS[selector], dtype=np.uint64) * np.uint64(BITS[selector])
             words[mine] |= np.bitwise_or.reduce(np.minimum(values, _PAYLOAD) << shifts, axis=1)
     escaped = long_values[lane, at] & (selectors == 15)

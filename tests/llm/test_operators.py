@@ -309,6 +309,17 @@ def test_encoder_equals_the_library():
         assert [np.frombuffer(x, np.uint32).tolist() for x in coder.encode(texts)] == expected
 
 
+def test_new_words_are_encoded_in_short_texts(monkeypatch):
+    """The library takes less time for many short texts than for a few long ones."""
+    coder, given = Encoder(PATH), []
+    whole = coder._whole
+    monkeypatch.setattr(coder, "_whole", lambda texts: given.extend(texts) or whole(texts))
+    text = " ".join("ab" + "".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(3000))
+    found = np.frombuffer(coder.encode([text])[0], np.uint32).tolist()
+    assert found == coder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert 10 < len(given) and max(len(t.split()) for t in given) <= 200
+
+
 def test_encoder_on_odd_joints():
     """Marks behind words, white space at the ends of chunks, special tokens: one at a time and all at once."""
     parts = ["a", "B", "\u00e9", "\n", "\t", " ", "  ", ".", "'s", "12", "#", "\u00a0", "\x85", "\u3000", "\u65e5\u672c",
