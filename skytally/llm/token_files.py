@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -20,7 +21,7 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
 BLOCK = 512  # ids that share an offset
 PAGE_IDS = 65_536  # a page ends with the document that reaches this
-TEXTS_AT_ONCE = 256
+BYTES_AT_ONCE = 4 << 20  # of text that is encoded together, or one text
 _MAGIC = b"S8P1"
 _HEAD = struct.Struct("<4sIQII")
 
@@ -169,6 +170,14 @@ def read_page(data: bytes) -> list[tuple[int | None, np.ndarray]]:
             for name, is_null, x in zip(names, null, np.split(ids, ends[:-1]))]
 
 
+def _runs(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` in slices of about ``BYTES_AT_ONCE``."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // BYTES_AT_ONCE)) + 1
+    for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+        yield texts.slice(begin, end - begin)
+
+
 def _give_back() -> None:
     """Return memory that this worker freed, perhaps in an earlier stage, to the system."""
     pa.default_memory_pool().release_unused()
@@ -196,7 +205,7 @@ def write_token_pages(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, page = TaskContext.get().partitionId(), 0
-        end = struct.pack("<I", end_id)
+        end = np.uint32(end_id)
         docs: list[tuple[int | None, np.ndarray]] = []
         held = 0
 
@@ -207,11 +216,12 @@ def write_token_pages(
 
         for batch in batches:
             _give_back()
-            names = batch["doc_id"].to_pylist()
-            for begin in range(0, len(names), TEXTS_AT_ONCE):
-                texts = [t or "" for t in batch["text"].slice(begin, TEXTS_AT_ONCE).to_pylist()]
-                for name, ids in zip(names[begin:], encoder(tokenizer, remembered).encode(texts)):
-                    docs.append((name, np.frombuffer(ids + end, "<u4")))
+            names = iter(batch["doc_id"].to_pylist())
+            for run in _runs(batch["text"]):
+                texts = [t or "" for t in run.to_pylist()]
+                for ids in encoder(tokenizer, remembered).encode(texts):
+                    name = next(names)
+                    docs.append((name, np.append(ids, end)))
                     held += len(docs[-1][1])
                     if held >= PAGE_IDS:
                         yield flush()
@@ -219,7 +229,7 @@ def write_token_pages(
         if docs:
             yield flush()
         if not keep:
-            docs = texts = ids = batch = None
+            docs = texts = ids = run = batch = None
             encoder(tokenizer, remembered).forget()
             _give_back()
 

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -332,6 +333,41 @@ def test_encoder_on_odd_joints():
     assert [np.frombuffer(coder.encode([t])[0], np.uint32).tolist() for t in texts[:300]] == expected[:300]
 
 
+def test_a_word_is_remembered_once_whatever_marks_follow():
+    coder = Encoder(PATH)
+    text = "a " + " ".join(f"word{end} \u00e9t\u00e9{end}" for end in ["", ",", ".", "?!", ";;;"])
+    found = coder.encode([text, text + " word:"])
+    assert [x.tolist() for x in found] == [
+        coder.tokenizer.encode(t, add_special_tokens=False).ids for t in (text, text + " word:")]
+    assert set(coder.of_chunk.young) == {"word", "\u00e9t\u00e9"}
+
+
+@pytest.mark.parametrize("remembered", [400_000, 7])
+def test_encoder_on_words_of_many_scripts(remembered):
+    """Words of letters are cut at spaces only; letters beyond the old scripts, digits and joints are not."""
+    rng = random.Random(6)
+    letters = "abcxyzABC\u00e9\u00df\u0153\u02bc\u03b1\u03a9\u0416\u044f\u0587\u05d0\u0639\u0915\u093f\u65e5\ud55c\u1e9e\U0001d5ba\U00016e40"
+    ends = ["", "", "", ",", ".", "!?", "'s", "1", "-x", "\u00a0", "\u0301", "\n", "|", "\u2019"]
+    words = ["".join(rng.choices(letters[: rng.choice([9, 16, len(letters)])], k=rng.randrange(1, 9))) + rng.choice(ends)
+             for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(30))) for _ in range(900)]
+    coder = Encoder(PATH, remembered)
+    expected = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    found = [x.tolist() for i in range(0, len(texts), 100) for x in coder.encode(texts[i : i + 100])]
+    assert found == expected
+    assert [x.tolist() for x in coder.encode(texts)] == expected  # old and new generation
+
+
+def test_texts_are_taken_in_runs_of_bytes(monkeypatch):
+    monkeypatch.setattr(tf, "BYTES_AT_ONCE", 10)
+    texts = ["abcd", None, "x" * 25, "", "\u00e9\u00e9\u00e9", "ab", "cdefghijkl", None]
+    for column in (pa.array(texts), pa.array(["zz", *texts])[1:], pa.array([], pa.string())):
+        runs = [run.to_pylist() for run in tf._runs(column)]
+        assert sum(runs, []) == column.to_pylist()
+        assert all(len("".join(t or "" for t in run[:-1]).encode()) < 20 for run in runs)
+    assert len([*tf._runs(pa.array(texts))]) > 2
+
+
 @pytest.mark.parametrize("remembered", [400_000, 5])
 def test_token_pages(spark, docs, remembered):
     path = scratch_path(spark, "pages")
