@@ -50,16 +50,17 @@ def lookup_join(
     total_rows: int | None = None,
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` with a ``lookup`` that has one row per key.
 
     When ``total_rows`` shows that no key can exceed ``rows_per_task`` this is a plain join. Otherwise the keys above
     that size, at most one per ``rows_per_task`` rows, are matched by broadcast and only the others are shuffled.
-    ``how`` is ``inner`` or ``left``.
+    ``how`` is ``inner`` or ``left``. ``counts`` are ``(key, count)`` of at least these rows, if they are known already.
     """
     if total_rows is not None and total_rows <= rows_per_task:
         return rows.join(lookup, key, how)
-    hot = rows.groupBy(key).count().where(F.col("count") > rows_per_task).select(key)
+    hot = (rows.groupBy(key).count() if counts is None else counts).where(F.col("count") > rows_per_task).select(key)
     hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
     hot_rows = rows.join(F.broadcast(hot), key, "left_semi")
     cold_rows = rows.join(F.broadcast(hot), key, "left_anti")
