@@ -34,7 +34,8 @@ def kmeans_sizes(members: DataFrame) -> DataFrame:
 
 def fit_forest(points: DataFrame, **settings) -> RandomForestClassificationModel:
     """Two-class forest on ``features`` and ``label``."""
-    return RandomForestClassifier(**(FOREST_SETTINGS | settings)).fit(points)
+    # A copy has no training summary: that holds the session, which cannot be sent to tasks once it has observed metrics.
+    return RandomForestClassifier(**(FOREST_SETTINGS | settings)).fit(points).copy()
 
 
 def classify(model: RandomForestClassificationModel, points: DataFrame, *keep: str) -> DataFrame:
